@@ -18,8 +18,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each regrouped file, from files of about 32 KB, so that small tables give several."""
-    done = compact(table(spark, sf_dir, "slice_files"), target_bytes=32 << 10, groups_per_shard=16)
+    """One row for each regrouped file, from files of about 1 MB, so that small tables give several."""
+    done = compact(table(spark, sf_dir, "slice_files"), target_bytes=1 << 20, groups_per_shard=16)
     return spark.read.parquet(done.manifest).select("group_id", "n_records")
 
 
