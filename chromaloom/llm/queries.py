@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_missing, plain, plain_slice, sql_missing, sql_plain, sql_plain_slice
 from ..plans.tables import table
 from ..session import settled
-from . import patterns
+from . import packing, patterns, tokenize
 from .cooccurrence import cooccurrence
 from .fusion import first_in_trust, fuse
 
@@ -106,8 +106,40 @@ def p5_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of every document."""
+    return tokenize.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def _containers(spark: SparkSession, sf_dir: str, most: int = 1000) -> list[tuple[str, int]]:
+    sizes = table(spark, sf_dir, "container_sizes").where("capacity_tokens >= 1").distinct().limit(most + 1).collect()
+    if len(sizes) > most:
+        raise ValueError(f"more than {most} kinds of containers")
+    return sorted((r.container_kind, r.capacity_tokens) for r in sizes)
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    sizes = tokenize.count_tokens(documents, "doc_id", "text")
+    return packing.pack(sizes, "doc_id", "n_tokens", _containers(spark, sf_dir), n_items=documents.count())
+
+
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of each document, or piece of a document larger than the capacity, for each kind."""
+    return _packed(spark, sf_dir)
+
+
+def p7_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers of each kind, the tokens in them, and the share of room left unused."""
+    per = _packed(spark, sf_dir).groupBy("container_kind", "container_id").agg(F.sum("n_tokens").alias("tokens"))
+    used = per.groupBy("container_kind").agg(F.count(F.lit(1)).alias("n_containers"), F.sum("tokens").alias("tokens"))
+    sizes = table(spark, sf_dir, "container_sizes").distinct()
+    room = F.col("n_containers") * F.col("capacity_tokens")
+    return used.join(sizes, "container_kind").select("container_kind", "n_containers", "tokens", F.round(1 - F.col("tokens") / room, 4).alias("unused"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p2_fused, p5_found, p5_combinations)}
+    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p2_fused, p5_found, p5_combinations, p6_ids, p7_containers, p7_unused)}
 
 
 def oracle_sql() -> dict[str, str]:
