@@ -11,6 +11,7 @@ from ..session import settled
 from . import packing, patterns, tokenize
 from .cooccurrence import cooccurrence
 from .fusion import first_in_trust, fuse
+from .stuffing import stuffed_share
 
 
 def _contacts(spark: SparkSession, sf_dir: str, min_count: int) -> DataFrame:
@@ -138,8 +139,18 @@ def p7_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return used.join(sizes, "container_kind").select("container_kind", "n_containers", "tokens", F.round(1 - F.col("tokens") / room, 4).alias("unused"))
 
 
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of each document's characters that is stuffing."""
+    return stuffed_share(table(spark, sf_dir, "documents"), "doc_id", "text", "lang").select("doc_id", F.round("share", 4).alias("share"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are stuffing for more than half of their characters."""
+    return stuffed_share(table(spark, sf_dir, "documents"), "doc_id", "text", "lang").where("share > 0.5").select("doc_id")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p2_fused, p5_found, p5_combinations, p6_ids, p7_containers, p7_unused)}
+    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p2_fused, p5_found, p5_combinations, p6_ids, p7_containers, p7_unused, p8_shares, p8_found)}
 
 
 def oracle_sql() -> dict[str, str]:
