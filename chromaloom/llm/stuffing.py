@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import settled
 
-WINDOW, STEP = 640, 160
+WINDOW, STEP = 640, 216
 #: Windows of a length belong to a bin of this many bytes. Shorter texts than SHORTEST have no block to measure.
 BIN, SHORTEST = 32, 192
 #: Longest windows' bin, and how many windows a bin of a language must have to be a standard of its own.
@@ -41,73 +41,128 @@ _DATA_LINE = re.compile(
     r"|>\S*"  # a sequence's name
     r"|[^\t]{1,60}\t(?=.*\d).{1,60}"  # a table's row
 )
-_TOKEN = re.compile(
-    r"(?P<url>(?:https?://|www\.)[^\s<>\"')\]|,;]+)"
-    r"|(?P<markup><[^<>]{0,300}>)"
-    r"|(?P<tag>#[^\s#,|;/]+)"
-    r"|(?P<article>(?<![\w-])(?=[a-z0-9]*\d)[a-z0-9]{2,4}-\d{3,6}\b)"
-    r"|(?P<price>(?<![\w.,])\d{1,5}\.\d\d(?![\d%]|\s?%)|[-+]\d{1,3}\s?%|\bx\d{1,3}\b)"
-    r"|(?P<count>\(\d{1,6}\))"
-    r"|(?P<sequence>\b[acgtnu]{24,}\b)"
-    r"|(?P<number>(?<![\w-])\d[\d.,:]*(?:-\d[\d.,]*)?)"
-)
-_MARKS = {"url": "\x01", "markup": "\x02", "tag": "\x03", "article": "\x04", "price": "\x05", "count": "\x06"}
-_SPACES = re.compile(r"[^\S\n]+")
-_DOUBLED = re.compile(r"([^\W\d_])\1+")
-_IN_WORD = re.compile(r"(?<=[^\W\d_])[013457]+(?=[^\W\d_])|(?<![\w.,:/-])[013457](?=[^\W\d_]{2})|(?<=[^\W\d_]{2})[013457](?![\w.,:/-])")
+_URL = re.compile(r"(?:https?://|www\.)[^\s<>\"')\]|,;]+")
+_MARKUP = re.compile(r"<[^<>]{0,300}>")
+_TAG = re.compile(r"#[^\s#,|;/]+")
+_ARTICLE = re.compile(r"(?<![\w-])(?=[a-z0-9]*\d)[a-z0-9]{2,4}-\d{3,6}\b")
+_HAS_ARTICLE = re.compile(r"-(?:(?<=[^\w-][a-z0-9]{2}-)|(?<=[^\w-][a-z0-9]{3}-)|(?<=[^\w-][a-z0-9]{4}-))\d{3,6}\b")
+_SEQUENCE = re.compile(r"\b[acgtnu]{24,}\b")
+_DIGITS = re.compile(r"\d+(?:[.,]\d+)*")
+_SPACES = re.compile(r"[^\S\n\t]{2,}|[^\S\n\t ]")
+_DOUBLED = [(2 * c, c) for c in "abcdefghijklmnopqrstuvwxy"]
 _LETTERS = str.maketrans("013457", "oieast")
 _ENDS = re.compile(rb"[.!?](?=\s|$)|\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f")
 #: Bytes that a sentence has at least: ends that follow sooner only part the items of a list.
 _SENTENCE = 46
 #: Bytes that stand for a number.
-_NOISE = 18
+_NUMBER = 18
 
 
-def _noise(seed: int, n: int) -> bytes:
-    """Bytes from 0x80 on that hardly compress; the same for the same seed."""
-    out, x = bytearray(), (seed * 2654435761 + 40503) & 0xFFFFFFFF
+def _hardly_compressible(n: int) -> bytes:
+    """n bytes from 0x80 on, always the same."""
+    out, x = bytearray(), 40503
     for _ in range(n):
-        x = (x * 1664525 + 1013904223) & 0xFFFFFFFF
-        out.append(0x80 | (x >> 25))
+        x = (x * 6364136223846793005 + 1442695040888963407) & 0xFFFFFFFFFFFFFFFF
+        out.append(0x80 | (x >> 57))
     return bytes(out)
 
 
+_NOISE = _hardly_compressible(1 << 16)
+
+
+def _noise(k: int, n: int) -> bytes:
+    """n bytes, others for each k."""
+    start = k * 97 % (len(_NOISE) - n)
+    return _NOISE[start : start + n]
+
+
+def _latin(c: str) -> bool:
+    return c.isalpha() and c < "ɐ"
+
+
+def _as_marks(mark: str):
+    return lambda m: mark * (m.end() - m.start())
+
+
+def _readable(text: str) -> str:
+    """One spelling; addresses, markup, tags and article numbers as marks of the same length."""
+    if not text.isascii():
+        text = _INVISIBLE.sub("", text)
+    text = text.lower().replace("<br>", "\n")
+    if "  " in text or not text.isascii():
+        text = _SPACES.sub(" ", text)
+    if "://" in text or "www." in text:
+        text = _URL.sub(_as_marks("\x01"), text)
+    if "<" in text:
+        text = _MARKUP.sub(_as_marks("\x02"), text)
+    if "#" in text:
+        text = _TAG.sub(_as_marks("\x03"), text)
+    if _HAS_ARTICLE.search(" " + text):
+        text = _ARTICLE.sub(_as_marks("\x04"), text)
+    return text
+
+
+def _kind(line: str, start: int, stop: int) -> str:
+    """What digits are: part of a word, a price, a count in brackets, or a number that says something."""
+    before = line[start - 1] if start else " "
+    after = line[stop] if stop < len(line) else " "
+    n = stop - start
+    if _latin(before):
+        multiple = before == "x" and (start < 2 or not line[start - 2].isalnum())
+        return "price" if multiple else "word"
+    if before == "_" or (_latin(after) and n == 1) or (before == "-" and n < 3 and after != "%"):
+        return "word"
+    if before in "+-" and after == "%" or (n > 3 and line[stop - 3] == "." and after != "%" and line[stop : stop + 2] != " %"):
+        return "price"
+    return "count" if before == "(" and after == ")" else "number"
+
+
+_AS_MARK = {"price": b"\x05", "count": b"\x06"}
+
+
 def normalised(text: str) -> tuple[bytes, list[tuple[int, int]]]:
-    """The bytes to compress, and (bytes, characters) up to each piece's end."""
-    text = _INVISIBLE.sub("", text).lower().replace("<br>", "\n")
-    out, at, chars, number = bytearray(), [], 0, 0
+    """The bytes to compress, and (bytes, characters) up to each piece's end.
 
-    def put(piece: bytes, n: int) -> None:
-        nonlocal chars
-        out.extend(piece)
-        chars += n
-        at.append((len(out), chars))
+    Characters are counted after invisible ones, doubled letters and runs of spaces are gone.
+    """
+    text = _readable(text)
+    parts: list[bytes] = []
+    at: list[tuple[int, int]] = []
+    size = chars = fresh = 0
 
+    def put(piece: bytes, n: int) -> None:
+        nonlocal size, chars
+        parts.append(piece)
+        size, chars = size + len(piece), chars + n
+        at.append((size, chars))
+
+    text = _SEQUENCE.sub(lambda m: f"\n>{'z' * (m.end() - m.start() - 2)}\n", text)  # lines of data
+    for double, single in _DOUBLED:
+        text = text.replace(double, single)
     for line in text.splitlines(keepends=True):
-        if _DATA_LINE.fullmatch(line.rstrip("\r\n")) and "://" not in line and "www." not in line:
-            number += 1
-            put(_noise(number, max(_SENTENCE, min(len(line), 2 * _SENTENCE))) + b".\n", len(line))  # as a sentence that is new
+        if _DATA_LINE.fullmatch(line.rstrip("\n")) and "\x01" not in line:
+            fresh += 1  # as a sentence that is new
+            put(_noise(fresh, max(_SENTENCE, min(len(line), 2 * _SENTENCE))) + b".\n", len(line))
             continue
-        last = 0
-        for m in _TOKEN.finditer(line):
-            if m.start() > last:
-                put(_words(line[last : m.start()]), m.start() - last)
-            kind, n = m.lastgroup, m.end() - m.start()
-            if kind in ("number", "sequence"):
-                number += 1
-                put(_noise(number, _NOISE if kind == "number" else n // 2), n)
+        last, words = 0, ""
+        for m in _DIGITS.finditer(line):
+            start, stop = m.span()
+            kind = _kind(line, start, stop)
+            if kind == "word":
+                words += line[last:start] + m[0].translate(_LETTERS)
             else:
-                put(_MARKS[kind].encode() * min(n, 60), n)
-            last = m.end()
-        if last < len(line):
-            put(_words(line[last:]), len(line) - last)
-    return bytes(out), at
-
-
-def _words(piece: str) -> bytes:
-    if not piece.isalpha():
-        piece = _IN_WORD.sub(lambda m: m[0].translate(_LETTERS), piece)
-    return _DOUBLED.sub(r"\1", _SPACES.sub(" ", piece)).encode("utf-8", "replace")
+                words += line[last:start]
+                put(words.encode("utf-8", "replace"), len(words))
+                words = ""
+                if kind == "number":
+                    fresh += 1
+                    put(_noise(fresh, _NUMBER), stop - start)
+                else:
+                    put(_AS_MARK[kind] * (stop - start), stop - start)
+            last = stop
+        words += line[last:]
+        put(words.encode("utf-8", "replace"), len(words))
+    return b"".join(parts), at
 
 
 def windows(text: str) -> list[tuple[int, float, float, int]]:
