@@ -249,13 +249,22 @@ def read_stages(source: str) -> dict[str, list[str]]:
         return stages
 
 
-def run_program(df: DataFrame, program: str | Mapping[str, Sequence[str]]) -> DataFrame:
-    for filters in load_program(program).values():
-        for name in filters:
-            df = REGISTRY[name](df)
+#: Filters that read their slices more than once.
+REREAD = {"remove_viewpoint_adjacent_restriction_fragments", "remove_duplicate_slices", "remove_duplicate_slices_pe"}
+
+
+def apply_filters(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The filters in turn. What one reads more than once is written to the shared folder before, so
+    that the filters before it run once."""
+    for name in names:
+        df = REGISTRY[name](settled(df, name) if name in REREAD else df)
     return df
 
 
+def run_program(df: DataFrame, program: str | Mapping[str, Sequence[str]]) -> DataFrame:
+    return apply_filters(df, [name for names in load_program(program).values() for name in names])
+
+
 def stage_stats(df: DataFrame, program: str | Mapping[str, Sequence[str]], by: Sequence[str] = ("pe",)) -> DataFrame:
     """stage, n_fragments and n_slices after each stage, for each value of ``by``.
 
@@ -263,9 +272,7 @@ def stage_stats(df: DataFrame, program: str | Mapping[str, Sequence[str]], by: S
     """
     out = None
     for stage, filters in load_program(program).items():
-        for name in filters:
-            df = REGISTRY[name](df)
-        df = settled(df, f"stage-{stage}")
+        df = settled(apply_filters(df, filters), f"stage-{stage}")
         one = df.groupBy(*by).agg(F.countDistinct("parent_id").alias("n_fragments"), F.count(F.lit(1)).alias("n_slices"))
         one = one.select(F.lit(stage).alias("stage"), *by, "n_fragments", "n_slices")
         out = one if out is None else out.unionByName(one)
