@@ -10,16 +10,20 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..session import settled
 
 Filter = Callable[[DataFrame], DataFrame]
-FRAGMENT = Window.partitionBy("parent_id")
 _FLAG = "__flag__"
 
 REGISTRY: dict[str, Filter] = {}
 
 
+def fragment() -> WindowSpec:
+    return Window.partitionBy("parent_id")
+
+
 def register(f: Filter) -> Filter:
     """Makes a filter known by its name; the way to add one's own."""
     REGISTRY[f.__name__] = f
@@ -43,24 +47,24 @@ def remove_unmapped_slices(df: DataFrame) -> DataFrame:
 @register
 def remove_orphan_slices(df: DataFrame) -> DataFrame:
     """Slices that are alone in their fragment go."""
-    return _where(df, F.count(F.lit(1)).over(FRAGMENT) > 1)
+    return _where(df, F.count(F.lit(1)).over(fragment()) > 1)
 
 
 @register
 def remove_multi_capture_fragments(df: DataFrame) -> DataFrame:
     """Fragments with exactly one capture name stay; NULL isn't a name."""
-    return _where(df, F.coalesce(F.min("capture").over(FRAGMENT) == F.max("capture").over(FRAGMENT), F.lit(False)))
+    return _where(df, F.coalesce(F.min("capture").over(fragment()) == F.max("capture").over(fragment()), F.lit(False)))
 
 
 @register
 def remove_excluded_slices(df: DataFrame) -> DataFrame:
     """Whole fragments stay that have a slice outside all exclusion zones but those of other viewpoints."""
     captured = F.when(F.col("capture_count") == 1, F.col("capture"))
-    first, last = F.min(captured).over(FRAGMENT), F.max(captured).over(FRAGMENT)
+    first, last = F.min(captured).over(fragment()), F.max(captured).over(fragment())
     # a slice meets each viewpoint of its fragment; if it differs from any, it differs from the first or the last
     df = df.withColumn("__first__", first).withColumn("__last__", last)
     free = (F.col("exclusion_count") < 1) | ~F.col("exclusion").eqNullSafe(F.col("__first__")) | ~F.col("exclusion").eqNullSafe(F.col("__last__"))
-    return _where(df, F.max(free).over(FRAGMENT)).drop("__first__", "__last__")
+    return _where(df, F.max(free).over(fragment())).drop("__first__", "__last__")
 
 
 @register
@@ -72,7 +76,7 @@ def remove_blacklisted_slices(df: DataFrame) -> DataFrame:
 def remove_non_reporter_fragments(df: DataFrame) -> DataFrame:
     """Fragments with a mapped slice left that is neither captured, excluded nor blacklisted."""
     left = F.sum(F.col("mapped") - F.col("capture_count") - F.col("blacklist") - F.col("exclusion_count"))
-    return _where(df, left.over(FRAGMENT) > 0)
+    return _where(df, left.over(fragment()) > 0)
 
 
 def slices_with_viewpoint(df: DataFrame) -> DataFrame:
@@ -146,7 +150,7 @@ def reporter_count() -> Column:
 
 @register
 def remove_slices_with_one_reporter(df: DataFrame) -> DataFrame:
-    sums = {c: F.sum(c).over(FRAGMENT) for c in ("mapped", "capture_count", "exclusion_count", "blacklist")}
+    sums = {c: F.sum(c).over(fragment()) for c in ("mapped", "capture_count", "exclusion_count", "blacklist")}
     left = sums["mapped"] - sums["exclusion_count"] - sums["capture_count"] - sums["blacklist"]
     return _where(df, (sums["capture_count"] > 0) & (left > 1))
 
@@ -158,20 +162,20 @@ def remove_slices_outside_capture(df: DataFrame) -> DataFrame:
 
 @register
 def remove_non_capture_fragments(df: DataFrame) -> DataFrame:
-    return _where(df, F.sum("capture_count").over(FRAGMENT) > 0)
+    return _where(df, F.sum("capture_count").over(fragment()) > 0)
 
 
 @register
 def remove_dual_capture_fragments(df: DataFrame) -> DataFrame:
     """Fragments whose captured slices have more than one name go."""
     name = F.when(F.col("capture_count") == 1, F.col("capture"))
-    return _where(df, F.coalesce(F.min(name).over(FRAGMENT) == F.max(name).over(FRAGMENT), F.lit(True)))
+    return _where(df, F.coalesce(F.min(name).over(fragment()) == F.max(name).over(fragment()), F.lit(True)))
 
 
 @register
 def remove_religation(df: DataFrame) -> DataFrame:
     """Of slices on the same or neighbouring restriction fragments only the first stays; NULL stays."""
-    order = FRAGMENT.orderBy(F.asc_nulls_last("restriction_fragment"), "slice_id")
+    order = fragment().orderBy(F.asc_nulls_last("restriction_fragment"), "slice_id")
     step = F.col("restriction_fragment") - F.lag("restriction_fragment").over(order)
     return _where(df, step.isNull() | (step > 1))
 

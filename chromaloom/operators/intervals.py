@@ -24,16 +24,18 @@ def _bucketed(df: DataFrame, width: int) -> DataFrame:
     return some.withColumn("__bucket__", F.explode(F.sequence(first, last)))
 
 
-def overlaps(a: DataFrame, b: DataFrame, width: int = BUCKET) -> DataFrame:
-    """All pairs that share a base: the columns of a, those of b with prefix ``b_``, and ``overlap``."""
+def overlaps(a: DataFrame, b: DataFrame, width: int = BUCKET, same: Sequence[str] = ()) -> DataFrame:
+    """All pairs that share a base (and the columns ``same``): a's columns, b's with prefix ``b_``, and ``overlap``."""
     right = _bucketed(b, width)
     right = right.select(*[F.col(c).alias(f"b_{c}") for c in b.columns], F.col("__bucket__").alias("b___bucket__"))
     left = _bucketed(a, width)
     start, end = F.greatest("start_pos", "b_start_pos"), F.least("end_pos", "b_end_pos")
-    same = (F.col("chrom") == F.col("b_chrom")) & (F.col("__bucket__") == F.col("b___bucket__"))
+    equal = (F.col("chrom") == F.col("b_chrom")) & (F.col("__bucket__") == F.col("b___bucket__"))
+    for c in same:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"b_{c}"))
     near = (F.col("start_pos") < F.col("b_end_pos")) & (F.col("b_start_pos") < F.col("end_pos"))
     once = F.col("__bucket__") == F.floor(start / width)
-    return left.join(right, same & near & once).withColumn("overlap", end - start).drop("__bucket__", "b___bucket__")
+    return left.join(right, equal & near & once).withColumn("overlap", end - start).drop("__bucket__", "b___bucket__")
 
 
 def at_least(part: Column, whole: Column, fraction: float) -> Column:
@@ -90,12 +92,12 @@ ANNOTATION_DEFAULTS = (
 )
 
 
-def cluster_intervals(df: DataFrame, slack: int = 0) -> DataFrame:
-    """df with ``cluster``, a number for each chrom and run of intervals that overlap or come within slack.
+def cluster_intervals(df: DataFrame, slack: int = 0, by: Sequence[str] = ("chrom",)) -> DataFrame:
+    """df with ``cluster``, a number for each chrom (or other ``by``) and run of intervals that overlap or come within slack.
 
     With slack 0 touching intervals are one cluster, with -1 they aren't.
     """
-    order = Window.partitionBy("chrom").orderBy("start_pos", "end_pos")
+    order = Window.partitionBy(*by).orderBy("start_pos", "end_pos")
     reach = F.max("end_pos").over(order.rowsBetween(Window.unboundedPreceding, -1))
     begins = F.when(F.col("start_pos") > reach + slack, 1).otherwise(F.when(reach.isNull(), 1).otherwise(0))
     return df.withColumn("__begins__", begins).withColumn("cluster", F.sum("__begins__").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("__begins__")
@@ -134,20 +136,20 @@ def exclusion_zones(viewpoints: DataFrame, by: int = 1000, sizes: DataFrame | No
     return subtract(slop(viewpoints, by, sizes), "name", viewpoints)
 
 
-def union_segments(df: DataFrame, sample: str, value: str) -> DataFrame:
-    """chrom, start_pos, end_pos, sample, value: every sample's value on each elementary segment.
+def union_segments(df: DataFrame, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """by, chrom, start_pos, end_pos and ``values`` (sample and value) on each elementary segment.
 
     Segments reach from one breakpoint of any sample to the next; a sample without an interval there
-    has no row, and segments without any are left out.
+    has no row, and segments without any are left out. Segments are made apart for each value of ``by``.
     """
-    points = df.select("chrom", F.explode(F.array("start_pos", "end_pos")).alias("start_pos")).distinct()
-    ahead = Window.partitionBy("chrom").orderBy("start_pos")
+    points = df.select(*by, "chrom", F.explode(F.array("start_pos", "end_pos")).alias("start_pos")).distinct()
+    ahead = Window.partitionBy(*by, "chrom").orderBy("start_pos")
     segments = points.withColumn("end_pos", F.lead("start_pos").over(ahead)).where("end_pos IS NOT NULL")
-    pairs = overlaps(segments, df.select("chrom", "start_pos", "end_pos", sample, value))
-    return pairs.select("chrom", "start_pos", "end_pos", F.col(f"b_{sample}").alias(sample), F.col(f"b_{value}").alias(value))
+    pairs = overlaps(segments, df.select(*by, "chrom", "start_pos", "end_pos", *values), same=by)
+    return pairs.select(*by, "chrom", "start_pos", "end_pos", *[F.col(f"b_{v}").alias(v) for v in values])
 
 
 def union_table(df: DataFrame, sample: str, value: str, samples: Sequence[str]) -> DataFrame:
     """The segments with a column for each sample, 0 where it has nothing."""
-    wide = union_segments(df, sample, value).groupBy("chrom", "start_pos", "end_pos").pivot(sample, list(samples)).agg(F.sum(value))
+    wide = union_segments(df, [sample, value]).groupBy("chrom", "start_pos", "end_pos").pivot(sample, list(samples)).agg(F.sum(value))
     return wide.na.fill(0, list(samples))
