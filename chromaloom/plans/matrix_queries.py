@@ -19,7 +19,7 @@ WIDTH = 10_000
 
 SQL_W = f"""{sql_clean()},
     w0 AS (SELECT * FROM s WHERE mapped = 1 AND restriction_fragment IS NOT NULL),
-    w AS (SELECT *, max(capture) OVER f AS viewpoint, restriction_fragment AS rf FROM w0 QUALIFY min(capture) OVER f = max(capture) OVER f WINDOW f AS (PARTITION BY parent_id)),
+    w AS (SELECT *, max(capture) OVER f AS viewpoint, restriction_fragment AS rf FROM w0 WINDOW f AS (PARTITION BY parent_id) QUALIFY min(capture) OVER f = max(capture) OVER f),
     b AS (SELECT name AS bin_id, chrom, start_pos AS s, end_pos AS e FROM restriction_fragments),
     v AS (SELECT lower(name) AS viewpoint, chrom, start_pos AS s, end_pos AS e FROM viewpoints)"""
 SQL_PX = f"""{SQL_W}, d AS (SELECT DISTINCT parent_id, bam AS sample, viewpoint, rf FROM w),
