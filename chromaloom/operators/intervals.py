@@ -103,11 +103,21 @@ def cluster_intervals(df: DataFrame, slack: int = 0, by: Sequence[str] = ("chrom
     return df.withColumn("__begins__", begins).withColumn("cluster", F.sum("__begins__").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("__begins__")
 
 
+#: Starts within a stretch of this many bases are merged by one task first.
+STRETCH = 1 << 20
+
+
 def merge_intervals(df: DataFrame, slack: int = 0) -> DataFrame:
-    """The union of the intervals: chrom, start_pos, end_pos without overlaps."""
+    """The union of the intervals: chrom, start_pos, end_pos without overlaps.
+
+    Intervals that start on one stretch of a chromosome are merged first, so that a whole chromosome
+    only meets what is left of them.
+    """
     some = df.where("end_pos > start_pos AND chrom IS NOT NULL").select("chrom", "start_pos", "end_pos")
-    runs = cluster_intervals(some, slack).groupBy("chrom", "cluster")
-    return runs.agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")).drop("cluster")
+    whole = [F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")]
+    stretches = some.withColumn("stretch", F.floor(F.col("start_pos") / STRETCH))
+    local = cluster_intervals(stretches, slack, ("chrom", "stretch")).groupBy("chrom", "stretch", "cluster").agg(*whole)
+    return cluster_intervals(local.select("chrom", "start_pos", "end_pos"), slack).groupBy("chrom", "cluster").agg(*whole).drop("cluster")
 
 
 def slop(df: DataFrame, by: int, sizes: DataFrame | None = None) -> DataFrame:
