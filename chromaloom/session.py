@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -38,9 +39,24 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+_scratch: list[tuple[object, object]] = []
+
+
+@atexit.register
+def _clean() -> None:
+    for place, hadoop in _scratch:
+        try:
+            place.getFileSystem(hadoop).delete(place, True)
+        except Exception:  # the JVM may be gone
+            return
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; what is there is deleted when the driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if getattr(spark, "_jvm", None) is not None:
+        _scratch.append((spark._jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()))
+    return path
 
 
 def settled(df: DataFrame, name: str = "settled") -> DataFrame:
