@@ -156,13 +156,13 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     read, missing_read = sql_plain("parent_read"), sql_missing("parent_read")
     pairs = f"""
-        r AS (SELECT DISTINCT bam, {read} AS read, restriction_fragment AS f FROM slices WHERE NOT {missing_read}),
+        r AS MATERIALIZED (SELECT DISTINCT bam, {read} AS read, restriction_fragment AS f FROM slices WHERE NOT {missing_read}),
         n AS (SELECT bam, count(DISTINCT read) AS n FROM r GROUP BY bam),
-        one AS (SELECT bam, f, count(*) AS n_f FROM r WHERE f IS NOT NULL GROUP BY ALL),
-        two AS (SELECT x.bam, x.f AS a, y.f AS b, count(*) AS n_ab FROM r x JOIN r y ON x.bam = y.bam AND x.read = y.read AND x.f < y.f GROUP BY ALL),
-        pairs AS (
-            SELECT two.bam, a AS fragment_a, b AS fragment_b, n_ab, p.n_f AS n_a, q.n_f AS n_b, n
-            FROM two JOIN one p ON p.bam = two.bam AND p.f = a JOIN one q ON q.bam = two.bam AND q.f = b JOIN n ON n.bam = two.bam)"""
+        one AS MATERIALIZED (SELECT bam, f, count(*) AS n_f FROM r WHERE f IS NOT NULL GROUP BY ALL),
+        two AS MATERIALIZED (SELECT x.bam, x.f AS a, y.f AS b, count(*) AS n_ab FROM r x JOIN r y ON x.bam = y.bam AND x.read = y.read AND x.f < y.f GROUP BY ALL),
+        left_of AS MATERIALIZED (SELECT two.*, p.n_f AS n_a FROM two JOIN one p ON p.bam = two.bam AND p.f = a),
+        both_of AS MATERIALIZED (SELECT l.*, q.n_f AS n_b FROM left_of l JOIN one q ON q.bam = l.bam AND q.f = b),
+        pairs AS (SELECT x.bam, a AS fragment_a, b AS fragment_b, n_ab, n_a, n_b, n FROM both_of x JOIN n ON n.bam = x.bam)"""
     day = "strftime(loaded_at, '%Y-%m-%d')"
     deliveries = f"""
         d AS (
