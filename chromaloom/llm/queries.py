@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,19 +91,36 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.where("2 * n_distinct <= n_records").select(*CELL)
 
 
+#: What the SQL of p5_combinations lists: five of the seven, of captured reads only.
 COMBINATIONS = (["bam"], ["load_day"], ["bam", "load_day"], ["capture"], ["load_day", "capture"])
+SUBSETS = tuple(list(dims) for k in (1, 2, 3) for dims in combinations(CELL, k))
+
+
+def _identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rows for each record: its slice and its read, both in (bam, day, capture); capture '' where it is missing.
+
+    A missing parent_read names no read: its identifier is NULL.
+    """
+    slices = table(spark, sf_dir, "slices")
+    capture = F.when(is_missing(F.col("capture")), "").otherwise(plain(F.col("capture"))).alias("capture")
+    read = F.when(~is_missing(F.col("parent_read")), plain(F.col("parent_read")))
+    cell = ["bam", F.date_format("loaded_at", "yyyy-MM-dd").alias("load_day"), capture]
+    named = lambda kind, name: slices.select(F.lit(kind).alias("kind"), *cell, F.concat(F.lit(f"{kind}|"), name).alias("identifier"))
+    return named("slice", plain_slice(F.col("slice_name"))).unionByName(named("read", read))
 
 
 def p5_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Different slices (capture '') and captured reads for bams, days, captures and combinations of them."""
-    rows = _deliveries(spark, sf_dir)
-    cells = patterns.cells_of(rows, CELL)
-    totals = patterns.pattern_totals(patterns.memberships(rows, "identifier", patterns.cell_code(CELL, cells.seed)))
+    """Different slices and reads for bams, days, captures and all their combinations, over all records.
+
+    NULL stands for a dimension that isn't of the combination, capture '' for records without a capture.
+    """
+    rows = _identifiers(spark, sf_dir)
+    cells = patterns.cells_of(rows, ["kind", *CELL])
+    totals = patterns.pattern_totals(patterns.memberships(rows, "identifier", patterns.cell_code(["kind", *CELL], cells.seed)))
     totals = settled(totals, "pattern-totals")
-    kinds = cells.withColumn("kind", F.when(F.col("capture") == "", "slice").otherwise("read"))
     out = None
-    for dims in COMBINATIONS:
-        per = patterns.distinct_per(totals, kinds, ["kind", *dims])
+    for dims in SUBSETS:
+        per = patterns.distinct_per(totals, cells, ["kind", *dims])
         per = per.select("kind", *[(F.col(d) if d in dims else F.lit(None).cast("string")).alias(d) for d in CELL], "n_distinct")
         out = per if out is None else out.unionByName(per)
     return out
