@@ -138,13 +138,14 @@ def by_alignment_score(df: DataFrame, score: Column, prefer: list[str] = (), fav
     """One alignment for each slice name: of the best score, then on a preferred chromosome.
 
     With ``favour_cis`` scores double on the chromosome that most of the read's alignments are on,
-    and halve on others. Ties go to the smaller chromosome, start and record.
+    and halve on others. Ties go to the smaller chromosome, start and record. An alignment without a
+    score comes last; one without a chromosome has no say in its read's.
     """
     df = df.withColumn("score", score.cast("double"))
     if favour_cis:
-        reads = df.groupBy("parent_id", "chrom").agg(F.count(F.lit(1)).alias("n")).groupBy("parent_id")
+        reads = df.where("chrom IS NOT NULL").groupBy("parent_id", "chrom").agg(F.count(F.lit(1)).alias("n")).groupBy("parent_id")
         home = reads.agg(F.max_by("chrom", F.struct("n", "chrom")).alias("home"))
-        df = df.join(home, "parent_id").withColumn("score", F.when(F.col("chrom") == F.col("home"), F.col("score") * 2).otherwise(F.col("score") / 2))
+        df = df.join(home, "parent_id", "left").withColumn("score", F.when(F.col("chrom") == F.col("home"), F.col("score") * 2).otherwise(F.col("score") / 2))
     preferred = F.col("chrom").isin(*prefer) if prefer else F.lit(False)
-    best = Window.partitionBy("slice_name").orderBy(F.desc("score"), F.desc("preferred"), "chrom", "start_pos", "record_id")
+    best = Window.partitionBy("slice_name").orderBy(F.desc_nulls_last("score"), F.desc_nulls_last("preferred"), "chrom", "start_pos", "record_id")
     return df.withColumn("preferred", preferred).withColumn("rank", F.row_number().over(best)).where("rank = 1").drop("rank", "preferred")

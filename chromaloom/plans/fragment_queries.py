@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import plain, sql_plain
+from ..functions.text import plain_slice, sql_plain
 from ..operators import filters, fragments
-from ..operators.slices import sql_clean
+from ..operators.slices import chrom_name, sql_clean
 from .filter_queries import slices, sql_program
 from .registry import Registry
 from .tables import table
@@ -157,8 +157,14 @@ SQL_RECORDS = f"""r0 AS (SELECT record_id, {sql_plain("split_part(slice_name, '|
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = table(spark, sf_dir, "slices").where("mapped = 1 AND chrom LIKE 'chr_'")
-    return t.withColumn("parent_id", plain(F.split_part("slice_name", F.lit("|"), F.lit(1)))).withColumn("slice_name", F.col("slice_id"))
+    """All mapped records, with slice, read and chromosome in plain form; no score where the chromosome is missing."""
+    t = table(spark, sf_dir, "slices").where("mapped = 1")
+    t = t.withColumns({"chrom": chrom_name(F.col("chrom")), "slice_name": plain_slice(F.col("slice_name"))})
+    return t.withColumn("parent_id", F.split_part("slice_name", F.lit("|"), F.lit(1)))
+
+
+def _aligned() -> Column:
+    return F.when(F.col("chrom").isNotNull(), F.col("end_pos") - F.col("start_pos"))
 
 
 @R.query(
@@ -167,7 +173,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dedup_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best alignment of each slice, by length, then on a preferred chromosome."""
-    best = fragments.by_alignment_score(_records(spark, sf_dir), F.col("end_pos") - F.col("start_pos"), prefer=["chr7"])
+    best = fragments.by_alignment_score(_records(spark, sf_dir), _aligned(), prefer=["chr7"])
     return best.select("record_id", "chrom")
 
 
@@ -178,5 +184,5 @@ def dedup_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dedup_alignments_cis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best alignment of each slice, favouring the chromosome of most of its read's."""
-    best = fragments.by_alignment_score(_records(spark, sf_dir), F.col("end_pos") - F.col("start_pos"), favour_cis=True)
+    best = fragments.by_alignment_score(_records(spark, sf_dir), _aligned(), favour_cis=True)
     return best.select("record_id", "chrom")
