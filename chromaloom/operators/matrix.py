@@ -9,10 +9,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..session import settled
 from .intervals import at_least, overlaps
 
 PIXEL = ["sample", "viewpoint", "bin1_id", "bin2_id"]
@@ -198,21 +200,41 @@ def average_matrices(pixels: DataFrame, n_samples: int, how: str = "mean") -> Da
     return held.select("viewpoint", "bin1_id", "bin2_id", value.alias("value"))
 
 
-def balance(pixels: DataFrame, iterations: int = 20, by: Sequence[str] = ("sample", "viewpoint")) -> DataFrame:
-    """Iterative correction: pixels with ``balanced``, in which all bins of a matrix have about equal sums.
-
-    In each round every pixel is divided by the biases of its bins, their sums over the mean sum.
-    Lineage is cut in each round by a table in the shared folder.
+def _balanced(one: np.ndarray, two: np.ndarray, n: np.ndarray, iterations: int, tolerance: float) -> tuple[np.ndarray, float]:
+    """Balanced pixels of one matrix, and how far a bin's sum is from the mean sum at most, as a share of it."""
+    bins, at = np.unique(np.concatenate([one, two]), return_inverse=True)
+    i, j = at[: len(one)], at[len(one) :]
+    apart = i != j  # a pixel on the diagonal counts once
+    value = n.astype(float)
+    for k in range(iterations + 1):
+        sums = np.bincount(i, value, len(bins)) + np.bincount(j, value * apart, len(bins))
+        mean = sums.mean()
+        if mean <= 0:
+            return value, 0.0
+        if k == 0:
+            before = mean
+        value = value * (before / mean)
+        bias = sums / mean
+        deviation = float(np.abs(bias - 1).max())
+        if deviation <= tolerance or k == iterations:
+            return value, deviation
+        root = np.sqrt(np.where(bias > 0, bias, 1.0))
+        value = value / (root[i] * root[j])
+
+
+def balance(pixels: DataFrame, iterations: int = 200, by: Sequence[str] = ("sample", "viewpoint"), tolerance: float = 1e-3) -> DataFrame:
+    """Iterative correction: pixels with ``balanced``, in which all bins of a matrix have equal sums, of the mean they had.
+
+    In each round every pixel is divided by the root of the biases of its bins, their sums over the
+    mean sum, until no sum is further from the mean than ``tolerance``, as a share of it. That share
+    comes out as ``deviation``: some sparse matrices, such as a star, can't be balanced, and end after
+    ``iterations`` rounds above the tolerance. A task holds one matrix's pixels.
     """
-    keys = list(by)
-    work = pixels.withColumn("balanced", F.col("n").cast("double"))
-    for _ in range(iterations):
-        work = settled(work, "balance")
-        half = work.select(*keys, F.explode(F.when(F.col("bin1_id") == F.col("bin2_id"), F.array("bin1_id")).otherwise(F.array("bin1_id", "bin2_id"))).alias("bin_id"), "balanced")
-        sums = half.groupBy(*keys, "bin_id").agg(F.sum("balanced").alias("s"))
-        mean = sums.groupBy(*keys).agg(F.avg("s").alias("m"))
-        bias = sums.join(mean, keys).select(*keys, "bin_id", (F.col("s") / F.col("m")).alias("b"))
-        for side in ("1", "2"):
-            work = work.join(bias.select(*keys, F.col("bin_id").alias(f"bin{side}_id"), F.col("b").alias(f"b{side}")), [*keys, f"bin{side}_id"])
-        work = work.withColumn("balanced", F.col("balanced") / F.sqrt(F.col("b1") * F.col("b2"))).select(*pixels.columns, "balanced")
-    return work
+
+    def run(matrix: pd.DataFrame) -> pd.DataFrame:
+        matrix = matrix.sort_values(["bin1_id", "bin2_id"])  # sums don't depend on the order of arrival
+        value, deviation = _balanced(*(matrix[c].to_numpy() for c in ("bin1_id", "bin2_id", "n")), iterations, tolerance)
+        return matrix.assign(balanced=value, deviation=deviation)
+
+    schema = StructType([*pixels.schema.fields, StructField("balanced", DoubleType()), StructField("deviation", DoubleType())])
+    return pixels.groupBy(*by).applyInPandas(run, schema)

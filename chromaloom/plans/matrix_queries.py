@@ -229,7 +229,7 @@ def matrix_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ice_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balanced matrices of every sample and viewpoint at 10 kb."""
     binned = matrix.rebin(pixels(spark, sf_dir), mapping(spark, sf_dir))
-    return matrix.balance(binned, iterations=4)
+    return matrix.balance(binned)
 
 
 # Profiles

@@ -1,4 +1,4 @@
-from chromaloom.plans import fragment_queries
+from chromaloom.plans import fragment_queries, matrix_queries
 
 RECORDS = "record_id long, slice_id long, slice_name string, chrom string, start_pos long, end_pos long, mapped int"
 
@@ -13,3 +13,20 @@ def test_alignments_of_every_spelling_are_compared(spark, tmp_path):
     rest = {(4, "chr1"), (6, "chr12"), (7, None), (9, "chr1")}
     assert {tuple(r) for r in fragment_queries.dedup_alignments(spark, str(tmp_path)).collect()} == {(2, "chr7")} | rest
     assert {tuple(r) for r in fragment_queries.dedup_alignments_cis(spark, str(tmp_path)).collect()} == {(1, "chr1")} | rest
+
+
+def test_matrices_with_a_dominant_bin_are_balanced(spark, monkeypatch):
+    n = 30
+    dense = [("s", "v", i, j, 200 if i == 0 else 1 + (i * j) % 3) for i in range(n) for j in range(i, n)]
+    star = [("s", "w", 0, j, 5) for j in range(1, 5)]
+    px = spark.createDataFrame(dense + star, "sample string, viewpoint string, bin1_id long, bin2_id long, n long")
+    monkeypatch.setattr(matrix_queries, "pixels", lambda *_: px)
+    monkeypatch.setattr(matrix_queries, "mapping", lambda *_: spark.createDataFrame([(i, i) for i in range(n)], "fragment_id long, bin_id long"))
+    sums, out = [0.0] * n, matrix_queries.ice_balance(spark, "").collect()
+    for r in out:
+        if r.viewpoint == "v":
+            sums[r.bin1_id] += r.balanced
+            sums[r.bin2_id] += r.balanced if r.bin1_id != r.bin2_id else 0
+    assert max(sums) / min(sums) < 1.003
+    deviation = {r.viewpoint: r.deviation for r in out}
+    assert deviation["v"] <= 1e-3 < 1 < deviation["w"]
