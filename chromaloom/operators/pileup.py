@@ -189,20 +189,32 @@ def adjusted(p: str, by: Sequence[str]) -> Column:
 def differential(counts: DataFrame, design: DataFrame, a: str, b: str) -> DataFrame:
     """Negative binomial Wald test of condition b against a at each place: log2 fold change, p and adjusted p.
 
-    Counts are divided by size factors; the dispersion of a place is the mean of its own (by moments)
-    and the viewpoint's median, at least 1e-8.
+    A sample of the design without a count at a place has 0 there. Counts are divided by size factors
+    (1 for a sample without any count of the viewpoint); the dispersion of a place is the mean of its
+    own (by moments) and the viewpoint's median, at least 1e-8. For the change a condition's mean is
+    half a count in all its samples at least, so places that one condition lacks are tested too.
     """
     two = design.where(F.col("condition").isin(a, b))
-    scaled = counts.join(two, "sample").join(size_factors(counts), ["viewpoint", "sample"])
-    scaled = scaled.withColumn("x", F.col("n") / F.col("factor")).withColumn("is_b", F.col("condition") == b)
-    side = lambda f, flag: f(F.when(F.col("is_b") == flag, F.col("x")))
-    inverse = lambda flag: F.sum(F.when(F.col("is_b") == flag, 1 / F.col("factor")))
-    per = scaled.groupBy("viewpoint", *PLACE).agg(
-        side(F.avg, False).alias("ma"), side(F.avg, True).alias("mb"), side(F.count, False).alias("ka"), side(F.count, True).alias("kb"),
-        F.coalesce(side(F.var_samp, False), F.lit(0.0)).alias("va"), F.coalesce(side(F.var_samp, True), F.lit(0.0)).alias("vb"),
-        inverse(False).alias("ia"), inverse(True).alias("ib"),
-    )
-    per = per.where("ma > 0 AND mb > 0")
+    own = counts.join(two, "sample")
+    factors = size_factors(own.select(counts.columns))
+    every = own.select("viewpoint").distinct().crossJoin(two).join(factors, ["viewpoint", "sample"], "left").na.fill(1.0, ["factor"])
+    when = lambda flag, c: F.when((F.col("condition") == b) == flag, c)
+    sizes = every.groupBy("viewpoint").agg(
+        *[F.count(when(f, F.lit(1))).alias(f"k{s}") for s, f in (("a", False), ("b", True))],
+        *[F.sum(when(f, 1 / F.col("factor"))).alias(f"i{s}") for s, f in (("a", False), ("b", True))],
+    )
+    scaled = own.join(factors, ["viewpoint", "sample"], "left").na.fill(1.0, ["factor"]).withColumn("x", F.col("n") / F.col("factor"))
+    of = lambda f, flag: f(when(flag, F.col("x")))
+    seen = scaled.groupBy("viewpoint", *PLACE).agg(
+        *[F.coalesce(of(f, flag), F.lit(0.0)).alias(f"{n}{s}") for s, flag in (("a", False), ("b", True)) for n, f in (("c", F.count), ("mean", F.avg), ("var", F.var_pop))]
+    )
+    per = seen.join(sizes.where("ka > 0 AND kb > 0"), "viewpoint")
+    for s in ("a", "b"):  # the samples without a count add zeros to the mean and the squares
+        k, c, mean = F.col(f"k{s}"), F.col(f"c{s}"), F.col(f"mean{s}")
+        per = per.withColumn(f"m{s}", mean * c / k)
+        squares = F.col(f"var{s}") * c + c * (mean - F.col(f"m{s}")) ** 2 + (k - c) * F.col(f"m{s}") ** 2
+        per = per.withColumns({f"v{s}": squares / F.greatest(k - 1, F.lit(1)), f"f{s}": F.greatest(F.col(f"m{s}"), 0.5 / k)})
+    per = per.where("ma > 0 OR mb > 0")
     pooled_mean = (F.col("ma") * F.col("ka") + F.col("mb") * F.col("kb")) / (F.col("ka") + F.col("kb"))
     freedom = F.greatest(F.col("ka") + F.col("kb") - 2, F.lit(1))
     pooled_var = (F.col("va") * (F.col("ka") - 1) + F.col("vb") * (F.col("kb") - 1)) / freedom
@@ -210,8 +222,8 @@ def differential(counts: DataFrame, design: DataFrame, a: str, b: str) -> DataFr
     usual = per.groupBy("viewpoint").agg(F.percentile("own", F.lit(0.5)).alias("usual"))
     per = per.join(usual, "viewpoint").withColumn("dispersion", F.greatest((F.col("own") + F.col("usual")) / 2, F.lit(1e-8)))
     # the variance of a log mean: (1 / mean * mean of 1 / factor + dispersion) / samples
-    variance = lambda s: (F.col(f"i{s}") / F.col(f"k{s}") / F.col(f"m{s}") + F.col("dispersion")) / F.col(f"k{s}")
-    change = F.log(F.col("mb") / F.col("ma"))
+    variance = lambda s: (F.col(f"i{s}") / F.col(f"k{s}") / F.col(f"f{s}") + F.col("dispersion")) / F.col(f"k{s}")
+    change = F.log(F.col("fb") / F.col("fa"))
     tested = per.withColumn("log2_fold_change", change / math.log(2)).withColumn("p_value", _two_sided(change / F.sqrt(variance("a") + variance("b"))))
     ratio = tested.withColumn("ratio", adjusted("p_value", ["viewpoint"]))
     after = Window.partitionBy("viewpoint").orderBy("p_value").rangeBetween(Window.currentRow, Window.unboundedFollowing)

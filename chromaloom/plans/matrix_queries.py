@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -432,5 +435,12 @@ def median_ratio_size_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.query()
 def nb_wald(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """KO against WT at every place with a count in both."""
-    return pileup.differential(settled(track(spark, sf_dir), "track"), design(spark, sf_dir), "wt", "ko")
+    """Every pair of conditions of the design, b against a, at every place with a count in either."""
+    d, t = design(spark, sf_dir), settled(track(spark, sf_dir), "track")
+    # few conditions: bounded by the design
+    names = sorted((r[0] for r in d.select("condition").distinct().limit(201).collect()), reverse=True)
+    if len(names) > 200:
+        raise ValueError("more than 200 conditions")
+    pairs = list(combinations(names, 2)) or [("wt", "ko")]  # without a pair there is no row
+    tested = [pileup.differential(t, d, a, b).withColumns({"a": F.lit(a), "b": F.lit(b)}) for a, b in pairs]
+    return reduce(DataFrame.unionByName, tested)

@@ -30,3 +30,19 @@ def test_matrices_with_a_dominant_bin_are_balanced(spark, monkeypatch):
     assert max(sums) / min(sums) < 1.003
     deviation = {r.viewpoint: r.deviation for r in out}
     assert deviation["v"] <= 1e-3 < 1 < deviation["w"]
+
+
+def test_every_pair_of_conditions_with_zeros(spark, monkeypatch):
+    level = {"w1": 10, "w2": 12, "k1": 11, "k2": 9, "n1": 10}
+    rows = [(s, place * 10, n + (place * 3 + n) % 4) for s, n in level.items() for place in range(20)]
+    rows += [("w1", 500, 8), ("k1", 600, 40), ("k2", 600, 44)]  # one of two libraries; a place that wt lacks
+    track = spark.createDataFrame([(s, "v", "chr1", at, at + 10, n) for s, at, n in rows], "sample string, viewpoint string, chrom string, start_pos long, end_pos long, n long")
+    design = spark.createDataFrame([("w1", "wt"), ("w2", "wt"), ("k1", "ko"), ("k2", "ko"), ("n1", "none")], "sample string, condition string")
+    monkeypatch.setattr(matrix_queries, "track", lambda *_: track)
+    monkeypatch.setattr(matrix_queries, "design", lambda *_: design)
+    out = {(r.a, r.b, r.start_pos): r for r in matrix_queries.nb_wald(spark, "").collect()}
+    assert {k[:2] for k in out} == {("wt", "ko"), ("wt", "none"), ("none", "ko")}
+    once, lacking = out["wt", "ko", 500], out["wt", "ko", 600]
+    assert 3 < once.mean_a < 5 and once.mean_b == 0 and once.log2_fold_change < 0
+    assert lacking.mean_a == 0 and lacking.log2_fold_change > 5 and lacking.p_adjusted < 0.05
+    assert ("wt", "none", 600) not in out and all(0 <= r.p_value <= r.p_adjusted + 1e-12 for r in out.values())
