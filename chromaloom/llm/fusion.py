@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -53,15 +54,6 @@ class Model:
     rounds: int = 4
 
 
-@dataclass(frozen=True)
-class Estimate:
-    """Accuracy of each source, and the probability that each two are dependent."""
-
-    sources: list[str]
-    accuracy: np.ndarray
-    dependence: np.ndarray
-
-
 def read_pattern(pattern: str) -> tuple[np.ndarray, np.ndarray]:
     """'source:value,...' -> sources, values from 1."""
     pairs = np.array([x.split(":") for x in pattern.split(",")], np.int64)
@@ -82,17 +74,38 @@ def beliefs(sources: np.ndarray, values: np.ndarray, accuracy: np.ndarray, depen
     return e / (e.sum() + max(0, m.false_values + 1 - len(e)) * np.exp(-top))
 
 
-def _evidence(accuracy: np.ndarray, dependence: np.ndarray, m: Model):
-    """Patterns with their number -> sums for the next estimate, added up by batch."""
+def _pattern_beliefs(s: np.ndarray, v: np.ndarray, linked: list[dict] | None, accuracy: np.ndarray, m: Model) -> np.ndarray:
+    """``beliefs`` of a pattern with the dependence of its own sources only: a, b, p."""
+    own, local = np.unique(s, return_inverse=True)
+    dependence = np.zeros((len(own), len(own)))
+    if linked:
+        i, j = (np.searchsorted(own, [x[c] for x in linked]) for c in "ab")
+        dependence[i, j] = dependence[j, i] = [x["p"] for x in linked]
+    return beliefs(local, v, accuracy[own], dependence, m)
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Patterns -> pattern, a, b: each two sources that give the same value."""
+    for batch in batches:
+        for pattern in batch["pattern"].to_pylist():
+            s, v = read_pattern(pattern)
+            given = [np.sort(s[v == k]).tolist() for k in np.unique(v)]
+            pairs = sorted({p for own in given for p in combinations(own, 2)})
+            if pairs:
+                yield pa.RecordBatch.from_pydict({"pattern": [pattern] * len(pairs), "a": pa.array([p[0] for p in pairs], pa.int32()), "b": pa.array([p[1] for p in pairs], pa.int32())})
+
+
+def _evidence(accuracy: np.ndarray, m: Model):
+    """Patterns with their number and dependence -> sums for the next estimate, added up by batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums: dict[tuple[int, int], np.ndarray] = {}
-            for pattern, n in zip(batch["pattern"].to_pylist(), batch["n"].to_pylist()):
+            for pattern, n, linked in zip(batch["pattern"].to_pylist(), batch["n"].to_pylist(), batch["linked"].to_pylist()):
                 s, v = read_pattern(pattern)
                 if len(np.unique(s)) < 2:  # a lone source's claims say nothing about how good it is
                     continue
-                p = beliefs(s, v, accuracy, dependence, m)[v - 1]
+                p = _pattern_beliefs(s, v, linked, accuracy, m)[v - 1]
                 for i in range(len(s)):
                     for j in range(i, len(s)):
                         a, b = (int(s[i]), int(s[j])) if s[i] <= s[j] else (int(s[j]), int(s[i]))
@@ -127,83 +140,83 @@ def agreement_of(same: float, different: float, m: Model) -> float:
     return float(1 / (1 + np.exp(-np.clip(log, -500, 500))))
 
 
-def estimate(patterns: DataFrame, sources: list[str], m: Model) -> Estimate:
-    """Accuracies and dependence, in ``m.rounds`` rounds.
+def _dependent(accuracy: np.ndarray, first: bool, m: Model):
+    """Sums of two sources -> a, b, p."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*[batch[c].to_pylist() for c in "abxyz"])
+            p = [agreement_of(x + y, z, m) if first else dependence_of(x, y, z, accuracy[a], accuracy[b], m) for a, b, x, y, z in rows]
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(p, pa.float64())], names=["a", "b", "p"])
+
+    return run
+
+
+def estimate(patterns: DataFrame, n_sources: int, m: Model) -> tuple[np.ndarray, DataFrame]:
+    """Accuracies, and the patterns with the dependence of their sources (linked), in ``m.rounds`` rounds.
 
     The first round only looks for sources that agree suspiciously often, so that a crowd of copies
-    can't pass for the truth before anything is known about accuracies.
+    can't pass for the truth before anything is known about accuracies. The driver holds a number
+    for each source; what is known of each two stays in a table.
     """
-    size = len(sources)
-    accuracy, dependence = np.full(size, m.accuracy), np.zeros((size, size))
+    accuracy = np.full(n_sources, m.accuracy)
+    agreeing = settled(patterns.mapInArrow(_agreeing, "pattern string, a int, b int"), "agreeing")
+    told = patterns.withColumn("linked", F.lit(None).cast("array<struct<a:int,b:int,p:double>>"))
     for k in range(m.rounds):
-        sums = patterns.mapInArrow(_evidence(accuracy, dependence, m), "a int, b int, x double, y double, z double")
-        # at most one row for each two sources, whose number was checked
-        rows = sums.groupBy("a", "b").agg(F.sum("x"), F.sum("y"), F.sum("z")).collect()
-        fresh, dependence = accuracy.copy(), np.zeros((size, size))
-        for a, b, x, y, _z in rows:
-            if a == b and k:
-                fresh[a] = np.clip((x + m.accuracy * 2) / (y + 2), 0.05, 0.999)
-        for a, b, x, y, z in rows:
-            if a != b:
-                p = dependence_of(x, y, z, fresh[a], fresh[b], m) if k else agreement_of(x + y, z, m)
-                dependence[a, b] = dependence[b, a] = p
-        accuracy = fresh
-    return Estimate(sources, accuracy, dependence)
-
-
-def _resolved(est: Estimate, m: Model):
+        sums = told.mapInArrow(_evidence(accuracy, m), "a int, b int, x double, y double, z double")
+        sums = settled(sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in "xyz"]), "evidence")
+        if k:
+            accuracy = accuracy.copy()
+            for a, x, y in sums.where("a = b").select("a", "x", "y").collect():  # one row for each source
+                accuracy[a] = np.clip((x + m.accuracy * 2) / (y + 2), 0.05, 0.999)
+        dependence = sums.where("a <> b").mapInArrow(_dependent(accuracy, not k, m), "a int, b int, p double")
+        linked = agreeing.join(dependence, ["a", "b"]).groupBy("pattern").agg(F.collect_list(F.struct("a", "b", "p")).alias("linked"))
+        told = settled(patterns.join(linked, "pattern", "left").select("pattern", "n", "linked"), "linked")
+    return accuracy, told
+
+
+def _resolved(accuracy: np.ndarray, m: Model):
+    """Patterns -> the place of the value of greatest posterior, from 1."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[int, float]] = {}
         for batch in batches:
-            coded = batch["pattern"].dictionary_encode()
-            best = []
-            for pattern in coded.dictionary.to_pylist():
-                if pattern not in known:
-                    if len(known) > 200_000:
-                        known.clear()
-                    p = beliefs(*read_pattern(pattern), est.accuracy, est.dependence, m)
-                    known[pattern] = int(p.argmax()), float(p.max())
-                best.append(known[pattern])
-            at = coded.indices.to_numpy()
-            place = np.array([b[0] for b in best], np.int64)[at] if best else np.zeros(0, np.int64)
-            posterior = np.array([b[1] for b in best])[at] if best else np.zeros(0)
-            lists = batch["vals"]
-            value = lists.values.take(pa.array(lists.offsets.to_numpy()[:-1] + place))
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["field"], value, pa.array(posterior)], names=["key", "field", "value", "posterior"])
+            each = [_pattern_beliefs(*read_pattern(x), linked, accuracy, m) for x, linked in zip(batch["pattern"].to_pylist(), batch["linked"].to_pylist())]
+            place, posterior = pa.array([int(p.argmax()) + 1 for p in each], pa.int32()), pa.array([float(p.max()) for p in each], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch["pattern"], place, posterior], names=["pattern", "place", "posterior"])
 
     return run
 
 
 def fuse(
-    df: DataFrame, key: Column, fields: Mapping[str, Column], sources: Sequence[Column], model: Model = Model(), max_sources: int = 512
+    df: DataFrame, key: Column, fields: Mapping[str, Column], sources: Sequence[Column], model: Model = Model(), max_sources: int | None = None
 ) -> DataFrame:
     """key, field, value, posterior: for each group and field the value of greatest posterior.
 
     ``fields`` are strings, NULL for a missing value: a group without any value of a field has no
-    row for it. ``sources`` name who delivered a record, from fine to coarse; the first with
-    at most ``max_sources`` different names is used, or else a single one, so what is sent to all
-    tasks (an accuracy for each, a probability for each two) is bounded. Equal votes go to the
-    smaller value. Repeated rows count once, rows with a NULL key or source not at all.
+    row for it. ``sources`` name who delivered a record: the first of them, however many different
+    names it has. Only where ``max_sources`` is given, the first of no more names than that is used,
+    or else a single source. Equal votes go to the smaller value. Repeated rows count once, rows with
+    a NULL key or source not at all.
     """
     values = F.explode(F.array(*[F.struct(F.lit(n).alias("field"), v.cast("string").alias("value")) for n, v in fields.items()]))
     claims = df.select(key.alias("key"), *[s.cast("string").alias(f"s{i}") for i, s in enumerate(sources)], values.alias("f"))
     claims = claims.select("key", "f.field", "f.value", *[f"s{i}" for i in range(len(sources))])
     claims = claims.where("key IS NOT NULL AND value IS NOT NULL")
-    chosen, found = F.lit("all"), ["all"]
-    for i in range(len(sources)):
-        seen = [r[0] for r in claims.select(f"s{i}").where(f"s{i} IS NOT NULL").distinct().limit(max_sources + 1).collect()]
-        if len(seen) <= max_sources:
-            chosen, found = F.col(f"s{i}"), seen
+    chosen = F.col("s0") if max_sources is None else F.lit("all")
+    for i in range(len(sources) if max_sources is not None else 0):
+        if claims.select(f"s{i}").where(f"s{i} IS NOT NULL").distinct().limit(max_sources + 1).count() <= max_sources:
+            chosen = F.col(f"s{i}")
             break
-    all_sources = sorted(f"{f}|{s}" for f in fields for s in found)
-    numbers = F.create_map(*[F.lit(x) for k, s in enumerate(all_sources) for x in (s, k)]) if all_sources else F.create_map()
-    told = claims.select("key", "field", "value", F.concat_ws("|", "field", chosen).alias("s")).where(chosen.isNotNull())
-    told = told.select("key", "field", F.struct(F.try_element_at(numbers, F.col("s")).alias("s"), "value").alias("c"))
+    told = claims.select("key", "field", "value", F.concat_ws("|", "field", chosen).alias("name")).where(chosen.isNotNull())
+    names = sorted(r[0] for r in told.select("name").distinct().collect())
+    numbers = df.sparkSession.createDataFrame([(x, k) for k, x in enumerate(names)], "name string, s int")
+    told = told.join(numbers, "name").select("key", "field", F.struct("s", "value").alias("c"))
     # what is gathered for a group is bounded by sources times values, not by its records
     grouped = told.groupBy("key", "field").agg(F.collect_set("c").alias("c"))
     grouped = grouped.withColumn("vals", F.array_sort(F.array_distinct("c.value")))
     told_by = F.transform("c", lambda c: F.concat_ws(":", c["s"].cast("string"), F.array_position("vals", c["value"]).cast("string")))
     grouped = settled(grouped.select("key", "field", "vals", F.array_join(F.array_sort(told_by), ",").alias("pattern")), "claims")
     patterns = settled(grouped.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "patterns")
-    est = estimate(patterns, all_sources, model)
-    return grouped.mapInArrow(_resolved(est, model), "key string, field string, value string, posterior double")
+    accuracy, linked = estimate(patterns, len(names), model)
+    best = linked.mapInArrow(_resolved(accuracy, model), "pattern string, place int, posterior double")
+    return grouped.join(best, "pattern").select("key", "field", F.element_at("vals", F.col("place")).alias("value"), "posterior")

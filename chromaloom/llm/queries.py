@@ -60,8 +60,7 @@ def p2_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
         "chrom": F.when(~is_missing(F.col("chrom")) & (name != ""), F.concat(F.lit("chr"), F.initcap(name))),
         "multimapped": F.col("multimapped").cast("string"),
     }
-    day = F.col("loaded_at").cast("date")
-    best = fuse(slices, plain_slice(F.col("slice_name")), fields, [day, F.trunc(day, "month"), F.year(day)])
+    best = fuse(slices, plain_slice(F.col("slice_name")), fields, [F.col("loaded_at").cast("date")])
     of = lambda f, c: F.max(F.when(F.col("field") == f, F.col(c)))
     return best.groupBy(F.col("key").alias("slice_name")).agg(
         of("chrom", "value").alias("chrom"), of("chrom", "posterior").alias("chrom_posterior"),

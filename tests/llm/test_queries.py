@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 from itertools import combinations
 
 from chromaloom.llm import queries as q
@@ -31,3 +31,14 @@ def test_distinct_counts_of_every_combination(spark, tmp_path):
                         want.setdefault((kind, *[row[2 + d] if d in dims else None for d in range(3)]), set()).add(name)
     got = {(r.kind, r.bam, r.load_day, r.capture): r.n_distinct for r in q.p5_combinations(spark, delivered(spark, tmp_path, rows)).collect()}
     assert got == {k: len(v) for k, v in want.items()}
+
+
+def test_many_loading_days_stay_sources(spark, tmp_path):
+    days = [datetime(2020, 1, 1) + timedelta(days=k) for k in range(600)]
+    rows = [(f"r{k}|pe|0|0", "chr1", day) for k, day in enumerate(days)]
+    for k in range(40):  # three days of their own against one, whose value is the smaller
+        rows += [(f"x{k}|pe|0|0", "chr2", days[3 * k + j]) for j in range(3)] + [(f"x{k}|pe|0|0", "chr1", days[400 + k])]
+    data = [(i, s, "r", c, 0, "a", None, t) for i, (s, c, t) in enumerate(rows)]
+    spark.createDataFrame(data, SLICES).write.parquet(str(tmp_path / "slices.parquet"))
+    out = {r.slice_name: r.chrom for r in q.p2_fused(spark, str(tmp_path)).collect()}
+    assert len(out) == 640 and {out[f"x{k}|pe|0|0"] for k in range(40)} == {"chr2"}
