@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import genomic
-from ..functions.text import plain, sql_plain
+from ..functions.text import plain_slice, sql_plain
 from ..operators import filters, preprocess, stats
 from ..operators.fragments import fragments
 from ..operators.slices import sql_clean
@@ -78,7 +78,7 @@ def dedup_reads_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def regenerate_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose read is one that the capture program keeps."""
     kept = filters.run_program(slices(spark, sf_dir), "capture")
-    reads = table(spark, sf_dir, "slices").select("record_id", plain(F.col("parent_read")).alias("name"))
+    reads = table(spark, sf_dir, "slices").select("record_id", F.split_part(plain_slice(F.col("slice_name")), F.lit("|"), F.lit(1)).alias("name"))
     return preprocess.regenerate_reads(reads, "name", kept, "parent_id").select("record_id")
 
 

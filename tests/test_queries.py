@@ -1,4 +1,4 @@
-from chromaloom.plans import fragment_queries, matrix_queries
+from chromaloom.plans import fragment_queries, matrix_queries, preprocess_queries
 
 RECORDS = "record_id long, slice_id long, slice_name string, chrom string, start_pos long, end_pos long, mapped int"
 
@@ -46,3 +46,11 @@ def test_every_pair_of_conditions_with_zeros(spark, monkeypatch):
     assert 3 < once.mean_a < 5 and once.mean_b == 0 and once.log2_fold_change < 0
     assert lacking.mean_a == 0 and lacking.log2_fold_change > 5 and lacking.p_adjusted < 0.05
     assert ("wt", "none", 600) not in out and all(0 <= r.p_value <= r.p_adjusted + 1e-12 for r in out.values())
+
+
+def test_records_without_a_parent_read_are_regenerated(spark, tmp_path, monkeypatch):
+    rows = [(1, "r1|pe|0|0", "r1"), (2, "R1 |pe|1|01", None), (3, "r2|pe|0|2", "r2"), (4, "r2|pe|1|3", None)]
+    spark.createDataFrame(rows, "record_id long, slice_name string, parent_read string").write.parquet(str(tmp_path / "slices.parquet"))
+    monkeypatch.setattr(preprocess_queries, "slices", lambda *_: None)
+    monkeypatch.setattr(preprocess_queries.filters, "run_program", lambda *_: spark.createDataFrame([("r1",)], "parent_id string"))
+    assert {r.record_id for r in preprocess_queries.regenerate_reads(spark, str(tmp_path)).collect()} == {1, 2}
