@@ -54,6 +54,11 @@ def clean_slices(slices: DataFrame) -> DataFrame:
     )
 
 
+def sql_chrom(c: str) -> str:
+    """``chrom_name`` in SQL."""
+    return f"CASE WHEN NOT {sql_missing(c)} THEN 'chr' || upper(regexp_replace({sql_plain(c)}, '^chr', '')) END"
+
+
 def sql_clean() -> str:
     """The same as a common table expression named s."""
     lost, chrom = sql_missing("chrom"), f"'chr' || upper(regexp_replace({sql_plain('chrom')}, '^chr', ''))"

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import plain_slice, sql_plain
+from ..functions.text import plain_slice, sql_missing, sql_plain, sql_plain_slice
 from ..operators import filters, fragments
-from ..operators.slices import chrom_name, sql_clean
+from ..operators.slices import chrom_name, sql_chrom, sql_clean
 from .filter_queries import slices, sql_program
 from .registry import Registry
 from .tables import table
@@ -153,7 +153,10 @@ def dedup_by_id_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fragments.without_duplicates(s, listed).agg(F.count(F.lit(1)).alias("n_slices"), F.countDistinct("parent_id").alias("n_reads"))
 
 
-SQL_RECORDS = f"""r0 AS (SELECT record_id, {sql_plain("split_part(slice_name, '|', 1)")} AS parent_id, slice_id, chrom, start_pos, end_pos - start_pos AS score FROM slices WHERE mapped = 1 AND chrom LIKE 'chr_')"""
+SQL_RECORDS = f"""r0 AS (
+    SELECT record_id, {sql_plain_slice("slice_name")} AS slice_name, {sql_plain("split_part(slice_name, '|', 1)")} AS parent_id, {sql_chrom("chrom")} AS chrom, start_pos,
+        CASE WHEN NOT {sql_missing("chrom")} THEN end_pos - start_pos END AS score
+    FROM slices WHERE mapped = 1)"""
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +172,7 @@ def _aligned() -> Column:
 
 @R.query(
     f"""WITH {SQL_RECORDS} SELECT record_id, chrom FROM r0
-    QUALIFY row_number() OVER (PARTITION BY slice_id ORDER BY score DESC, chrom = 'chr7' DESC, chrom, start_pos, record_id) = 1"""
+    QUALIFY row_number() OVER (PARTITION BY slice_name ORDER BY score DESC NULLS LAST, chrom = 'chr7' DESC NULLS LAST, chrom NULLS FIRST, start_pos NULLS FIRST, record_id) = 1"""
 )
 def dedup_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best alignment of each slice, by length, then on a preferred chromosome."""
@@ -178,9 +181,10 @@ def dedup_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @R.query(
-    f"""WITH {SQL_RECORDS}, home AS (SELECT parent_id, arg_max(chrom, (n, chrom)) AS home FROM (SELECT parent_id, chrom, count(*) AS n FROM r0 GROUP BY ALL) GROUP BY 1)
-    SELECT record_id, r0.chrom FROM r0 JOIN home ON home.parent_id = r0.parent_id
-    QUALIFY row_number() OVER (PARTITION BY slice_id ORDER BY CASE WHEN r0.chrom = home THEN score * 2.0 ELSE score / 2.0 END DESC, r0.chrom, start_pos, record_id) = 1"""
+    f"""WITH {SQL_RECORDS}, home AS (
+        SELECT parent_id, arg_max(chrom, (n, chrom)) AS home FROM (SELECT parent_id, chrom, count(*) AS n FROM r0 WHERE chrom IS NOT NULL GROUP BY ALL) GROUP BY 1)
+    SELECT record_id, r0.chrom FROM r0 LEFT JOIN home ON home.parent_id = r0.parent_id
+    QUALIFY row_number() OVER (PARTITION BY slice_name ORDER BY CASE WHEN r0.chrom = home THEN score * 2.0 ELSE score / 2.0 END DESC NULLS LAST, r0.chrom NULLS FIRST, start_pos NULLS FIRST, record_id) = 1"""
 )
 def dedup_alignments_cis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best alignment of each slice, favouring the chromosome of most of its read's."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import is_missing, plain, sql_missing, sql_plain
 from ..operators import matrix
 from ..operators.slices import sql_clean
 from ..session import scratch_path
@@ -76,14 +77,12 @@ def dump_viewpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.options(sep="\t", header="true").schema(schema).csv(text).drop("viewpoint")
 
 
-@R.query(
-    r"""SELECT bam AS sample, coalesce(max(condition_label), '') AS condition FROM design_matrix WHERE regexp_full_match(trim(condition_label), '[A-Za-z]+') AND condition_label = trim(condition_label) GROUP BY bam"""
-)
+@R.query(f"SELECT bam AS sample, CASE WHEN NOT {sql_missing('condition_label')} THEN {sql_plain('condition_label')} END AS condition FROM design_matrix")
 def design_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A design as text, separated by blanks."""
+    """Every row of the design as text, separated by blanks, and back; a row without a condition keeps its sample."""
     path = scratch_path(spark, "design")
-    d = table(spark, sf_dir, "design_matrix").where("condition_label RLIKE '^[A-Za-z]+$'").groupBy("bam").agg(F.max("condition_label").alias("c"))
-    d.select(F.concat_ws("  ", "bam", "c").alias("value")).write.text(path)
+    label = F.when(~is_missing(F.col("condition_label")), plain(F.col("condition_label")))
+    writers.write_design(table(spark, sf_dir, "design_matrix").select(F.col("bam").alias("sample"), label.alias("condition")), path)
     return readers.read_design(spark, path)
 
 

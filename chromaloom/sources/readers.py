@@ -47,8 +47,9 @@ def read_chrom_sizes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_design(spark: SparkSession, path: str) -> DataFrame:
-    """sample, condition from a table separated by white space or commas; the first line is a header."""
-    lines = spark.read.text(path).where("trim(value) <> ''").select(F.split(F.trim("value"), r"[\s,]+").alias("f"))
+    """sample, condition from a table separated by white space or commas; quoted names may hold either, headers are left out."""
+    fields = F.regexp_extract_all("value", F.lit(r'"[^"]*"|[^\s,]+'), F.lit(0))
+    lines = spark.read.text(path).where("trim(value) <> ''").select(F.transform(fields, lambda x: F.btrim(x, F.lit('"'))).alias("f"))
     both = lines.select(F.get("f", F.lit(0)).alias("sample"), F.get("f", F.lit(1)).alias("condition"))
     return both.where("sample <> 'sample'")
 

@@ -43,6 +43,12 @@ def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_design(design: DataFrame, path: str, mode: str = "error") -> None:
+    """sample, condition as lines separated by blanks. A name with white space or a comma in it is quoted."""
+    named = lambda c: F.when(F.col(c).rlike(r"[\s,]"), F.concat(F.lit('"'), F.col(c), F.lit('"'))).otherwise(F.col(c))
+    design.select(F.concat_ws("  ", named("sample"), named("condition")).alias("value")).write.mode(mode).text(path)
+
+
 def dump(df: DataFrame, path: str, viewpoint: str | None = None, mode: str = "error") -> None:
     """A store or slices as text, of one viewpoint if given."""
     write_tsv(df if viewpoint is None else df.where(F.col("viewpoint") == viewpoint), path, mode=mode)
