@@ -90,8 +90,6 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.where("2 * n_distinct <= n_records").select(*CELL)
 
 
-#: What the SQL of p5_combinations lists: five of the seven, of captured reads only.
-COMBINATIONS = (["bam"], ["load_day"], ["bam", "load_day"], ["capture"], ["load_day", "capture"])
 SUBSETS = tuple(list(dims) for k in (1, 2, 3) for dims in combinations(CELL, k))
 
 
@@ -184,11 +182,12 @@ def oracle_sql() -> dict[str, str]:
     day = "strftime(loaded_at, '%Y-%m-%d')"
     deliveries = f"""
         d AS (
-            SELECT 'slice' AS kind, bam, {day} AS load_day, '' AS capture, {sql_plain_slice("slice_name")} AS identifier FROM slices
-            UNION ALL SELECT 'read', bam, {day}, {sql_plain("capture")}, {read} FROM slices WHERE NOT {missing_read} AND NOT {sql_missing("capture")})"""
+            SELECT 'slice' AS kind, bam, {day} AS load_day, CASE WHEN {sql_missing("capture")} THEN '' ELSE {sql_plain("capture")} END AS capture,
+                {sql_plain_slice("slice_name")} AS identifier FROM slices
+            UNION ALL SELECT 'read', bam, {day}, CASE WHEN {sql_missing("capture")} THEN '' ELSE {sql_plain("capture")} END, {read} FROM slices WHERE NOT {missing_read})"""
     combined = " UNION ALL ".join(
         f"SELECT kind, {', '.join(d if d in dims else f'CAST(NULL AS VARCHAR) AS {d}' for d in CELL)}, count(DISTINCT identifier) AS n_distinct FROM d GROUP BY kind, {', '.join(dims)}"
-        for dims in COMBINATIONS
+        for dims in SUBSETS
     )
     return {
         "p5_combinations": f"WITH {deliveries} {combined}",
