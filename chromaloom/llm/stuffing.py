@@ -1,250 +1,218 @@
 """Keyword-stuffed and link-list pages, by block-wise compression.
 
-A text is normalised, so that what only looks different becomes equal: case, doubled letters,
-digits for letters and invisible characters go, and addresses, tags, prices, article numbers and
-counts in brackets become runs of one mark each. Numbers become bytes that don't compress, since a
-reading or a step says something new, and so do lines of data (logs, settings, sequences, tables).
-
-Windows of the normalised text, one every STEP bytes, are compressed. A window's redundancy is its
-compression ratio over that of usual text of the same language and length in the corpus. A window is
-flagged where redundancy is extreme, or raised with hardly any sentence ends. A page is reported when
-the flagged windows' own shares of its characters are more than half.
+1. A text is brought to one spelling, and what says as much as any other of its kind (an address, a
+   tag, markup, an article number, a price) becomes a run of one mark. What says something new
+   whatever it is (a number, a sequence without a blank) becomes bytes that don't compress.
+2. Windows of this, one every STEP bytes, are compressed. A window's redundancy is its compression
+   ratio over that of usual text of the same language and length in the corpus.
+3. A window is flagged where redundancy is extreme, and confirmed by a low density of sentence ends.
+   Only ends of sentences count that don't repeat what was said within the window before them.
+4. A page's share is that of the flagged windows' own characters.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from math import ceil, log2
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settled
 
 WINDOW, STEP = 640, 216
-#: Windows of a length belong to a bin of this many bytes. Shorter texts than SHORTEST have no block to measure.
-BIN, SHORTEST = 32, 192
-#: Longest windows' bin, and how many windows a bin of a language must have to be a standard of its own.
-LAST, ENOUGH = WINDOW // BIN, 30
-#: The ratio that this share of a bin's windows reach at most is taken for usual text's.
+#: The ratio that this share of windows reach at most is taken for usual text's.
 USUAL = 0.8
-#: A window is extreme below the first share of usual, and suspicious below the second with at most
-#: so many sentence ends for each 100 bytes.
-EXTREME, RAISED, FEW_ENDS = 0.54, 0.98, 0.5
+#: So many windows' worth of all languages' are added to each language's, so that rare languages lean on the rest.
+LEAN = 100.0
+#: A window is extreme below this share of the usual ratio, and confirmed up to so many sentence ends for each 100 bytes.
+EXTREME, FEW_ENDS = 0.92, 0.55
+#: A sentence has this many bytes at least, of whose pieces of PIECE bytes this share is new.
+SENTENCE, PIECE, NEW = 46, 8, 0.45
+#: Bytes that stand for a number, and from how many characters on a word without a blank is data.
+NUMBER, DATA = 18, 24
 
 _INVISIBLE = re.compile("[​-‏⁠-⁤﻿­]")
-_DATA_LINE = re.compile(
-    r"\W*\d{1,2}:\d\d(?::\d\d)?\b.*"  # a log's line
-    r"|\s*[\w.-]+\s*[:=]\s*[\w./-]+\s*"  # a setting
-    r"|>\S*"  # a sequence's name
-    r"|[^\t]{1,60}\t(?=.*\d).{1,60}"  # a table's row
-)
-_URL = re.compile(r"(?:https?://|www\.)[^\s<>\"')\]|,;]+")
-_MARKUP = re.compile(r"<[^<>]{0,300}>")
-_TAG = re.compile(r"#[^\s#,|;/]+")
-_ARTICLE = re.compile(r"(?<![\w-])(?=[a-z0-9]*\d)[a-z0-9]{2,4}-\d{3,6}\b")
-_HAS_ARTICLE = re.compile(r"-(?:(?<=[^\w-][a-z0-9]{2}-)|(?<=[^\w-][a-z0-9]{3}-)|(?<=[^\w-][a-z0-9]{4}-))\d{3,6}\b")
-_SEQUENCE = re.compile(r"\b[acgtnu]{24,}\b")
-_DIGITS = re.compile(r"\d+(?:[.,]\d+)*")
-_SPACES = re.compile(r"[^\S\n\t]{2,}|[^\S\n\t ]")
-_DOUBLED = [(2 * c, c) for c in "abcdefghijklmnopqrstuvwxy"]
-_LETTERS = str.maketrans("013457", "oieast")
-_ENDS = re.compile(rb"[.!?](?=\s|$)|\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f")
-#: Bytes that a sentence has at least: ends that follow sooner only part the items of a list.
-_SENTENCE = 46
-#: Bytes that stand for a number.
-_NUMBER = 18
-
-
-def _hardly_compressible(n: int) -> bytes:
-    """n bytes from 0x80 on, always the same."""
-    out, x = bytearray(), 40503
-    for _ in range(n):
+_URL = re.compile(rb"(?:https?://|www\.)[^\s<>\"')\]|,;]+")
+_MARKUP = re.compile(rb"<[^<>]{0,300}>")
+_TAG = re.compile(rb"#[^\s#,|;/]+")
+_SPACES = re.compile(rb"[ \t\r\f\v]{2,}|[\t\r\f\v]")
+_DOUBLED = re.compile(rb"([a-z])\1+")
+_NEWS = re.compile(rb"[!-~]{%d,}|\d+(?:[.,]\d+)*" % DATA)
+_LETTERS = bytes.maketrans(b"013457", b"oieast")
+_ENDS = re.compile(rb"[.!?](?=\s|$|[\xc0-\xff])|\xe3\x80\x82")
+#: A line that states a value is a sentence of its own.
+_STATED = re.compile(rb"(?m)^ ?[\w.\x05-]+ ?[:=] ?[^\s,\x01-\x05]+ ?$")
+_LETTER = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+_BEFORE_LABEL = _LETTER | frozenset(b"_-(#")
+
+
+def _scrambled(n: int) -> np.ndarray:
+    """n numbers from 0 to 63, always the same, in which nothing repeats that compression could use."""
+    out, x = np.empty(n, np.uint8), 40503
+    for i in range(n):
         x = (x * 6364136223846793005 + 1442695040888963407) & 0xFFFFFFFFFFFFFFFF
-        out.append(0x80 | (x >> 57))
-    return bytes(out)
-
-
-_NOISE = _hardly_compressible(1 << 16)
-
+        out[i] = x >> 58
+    return out
 
-def _noise(k: int, n: int) -> bytes:
-    """n bytes, others for each k."""
-    start = k * 97 % (len(_NOISE) - n)
-    return _NOISE[start : start + n]
 
+_NOISE = _scrambled(3 << 15)
+#: Bytes that count as a character and bytes that don't, as first and further bytes in UTF-8; of each
+#: three bytes of the mixture one doesn't, at any place.
+_COUNTED, _UNCOUNTED = (_NOISE | 0xC0).tobytes(), (_NOISE | 0x80).tobytes()
+_MIXED = (_NOISE | np.where(np.arange(len(_NOISE)) % 3 == np.repeat(_NOISE[::3] % 3, 3), 0x80, 0xC0).astype(np.uint8)).tobytes()
 
-def _latin(c: str) -> bool:
-    return c.isalpha() and c < "ɐ"
 
+def _number(k: int, chars: int) -> bytes:
+    """NUMBER bytes or more, ``chars`` of them characters; others for each k."""
+    start = k * 97 % (len(_COUNTED) - 2 * DATA)
+    return _COUNTED[start : start + chars] + _UNCOUNTED[start : start + NUMBER - chars]
 
-def _as_marks(mark: str):
-    return lambda m: mark * (m.end() - m.start())
 
+def _data(k: int, chars: int) -> bytes:
+    """Half as many bytes again as characters; others for each k."""
+    size, start = chars * 3 // 2, k * 291 % len(_MIXED)
+    return (_MIXED[start:] + _MIXED * (size // len(_MIXED) + 1))[:size] if start + size > len(_MIXED) else _MIXED[start : start + size]
 
-def _readable(text: str) -> str:
-    """One spelling; addresses, markup, tags and article numbers as marks of the same length."""
-    if not text.isascii():
-        text = _INVISIBLE.sub("", text)
-    text = text.lower().replace("<br>", "\n")
-    if "  " in text or not text.isascii():
-        text = _SPACES.sub(" ", text)
-    if "://" in text or "www." in text:
-        text = _URL.sub(_as_marks("\x01"), text)
-    if "<" in text:
-        text = _MARKUP.sub(_as_marks("\x02"), text)
-    if "#" in text:
-        text = _TAG.sub(_as_marks("\x03"), text)
-    if _HAS_ARTICLE.search(" " + text):
-        text = _ARTICLE.sub(_as_marks("\x04"), text)
-    return text
 
+def normalised(text: str) -> bytes:
+    """The bytes to compress; as many of them as aren't further bytes in UTF-8 are the characters."""
+    text = text.lower() if text.isascii() else unicodedata.normalize("NFKC", _INVISIBLE.sub("", text)).lower()
+    data = text.encode("utf-8", "replace")
+    for hint, pattern, mark in ((b"://", _URL, b"\x01"), (b"www.", _URL, b"\x01"), (b"<", _MARKUP, b"\x02"), (b"#", _TAG, b"\x03")):
+        if hint in data:
+            data = pattern.sub(lambda m: mark * (m.end() - m.start()), data)  # noqa: B023
+    data = _DOUBLED.sub(rb"\1", _SPACES.sub(b" ", data))
+    k, size = 0, len(data)
 
-def _kind(line: str, start: int, stop: int) -> str:
-    """What digits are: part of a word, a price, a count in brackets, or a number that says something."""
-    before = line[start - 1] if start else " "
-    after = line[stop] if stop < len(line) else " "
-    n = stop - start
-    if _latin(before):
-        multiple = before == "x" and (start < 2 or not line[start - 2].isalnum())
-        return "price" if multiple else "word"
-    if before == "_" or (_latin(after) and n == 1) or (before == "-" and n < 3 and after != "%"):
-        return "word"
-    if before in "+-" and after == "%" or (n > 3 and line[stop - 3] == "." and after != "%" and line[stop : stop + 2] != " %"):
-        return "price"
-    return "count" if before == "(" and after == ")" else "number"
+    def said(m: re.Match) -> bytes:
+        nonlocal k
+        start, stop = m.span()
+        word, n = m[0], stop - start
+        if n < DATA:
+            before, after = data[start - 1] if start else 32, data[stop] if stop < size else 32
+            if before in _LETTER and after in _LETTER:  # a letter in disguise
+                return word.translate(_LETTERS)
+            price = n > 3 and word[-3] == 46 and data[stop : stop + 2].strip()[:1] != b"%"
+            if price or before in _BEFORE_LABEL or n < 3 and after in _LETTER:
+                return b"\x05" * n
+        k += 1
+        return _number(k, n) if n < DATA else _data(k, n)
 
+    return _NEWS.sub(said, data)
 
-_AS_MARK = {"price": b"\x05", "count": b"\x06"}
 
+def sentence_ends(data: bytes) -> list[int]:
+    """Where sentences end that say something new."""
+    ends, begin = [], 0
+    for m in _ENDS.finditer(data):
+        end = m.start()
+        pieces = (end - begin) // PIECE
+        if end - begin >= SENTENCE:
+            needed, near = max(2, ceil(NEW * pieces)), max(0, begin - WINDOW)
+            spare = pieces - needed
+            for at in range(begin, begin + pieces * PIECE, PIECE):
+                if data.find(data[at : at + PIECE], near, at) < 0:
+                    needed -= 1
+                    if not needed:
+                        ends.append(end)
+                        break
+                else:
+                    spare -= 1
+                    if spare < 0:
+                        break
+        begin = end + 1
+    if b":" in data or b"=" in data:
+        ends = sorted(ends + [m.end() - 1 for m in _STATED.finditer(data)])
+    return ends
 
-def normalised(text: str) -> tuple[bytes, list[tuple[int, int]]]:
-    """The bytes to compress, and (bytes, characters) up to each piece's end.
 
-    Characters are counted after invisible ones, doubled letters and runs of spaces are gone.
-    """
-    text = _readable(text)
-    parts: list[bytes] = []
-    at: list[tuple[int, int]] = []
-    size = chars = fresh = 0
-
-    def put(piece: bytes, n: int) -> None:
-        nonlocal size, chars
-        parts.append(piece)
-        size, chars = size + len(piece), chars + n
-        at.append((size, chars))
-
-    text = _SEQUENCE.sub(lambda m: f"\n>{'z' * (m.end() - m.start() - 2)}\n", text)  # lines of data
-    for double, single in _DOUBLED:
-        text = text.replace(double, single)
-    for line in text.splitlines(keepends=True):
-        if _DATA_LINE.fullmatch(line.rstrip("\n")) and "\x01" not in line:
-            fresh += 1  # as a sentence that is new
-            put(_noise(fresh, max(_SENTENCE, min(len(line), 2 * _SENTENCE))) + b".\n", len(line))
-            continue
-        last, words = 0, ""
-        for m in _DIGITS.finditer(line):
-            start, stop = m.span()
-            kind = _kind(line, start, stop)
-            if kind == "word":
-                words += line[last:start] + m[0].translate(_LETTERS)
-            else:
-                words += line[last:start]
-                put(words.encode("utf-8", "replace"), len(words))
-                words = ""
-                if kind == "number":
-                    fresh += 1
-                    put(_noise(fresh, _NUMBER), stop - start)
-                else:
-                    put(_AS_MARK[kind] * (stop - start), stop - start)
-            last = stop
-        words += line[last:]
-        put(words.encode("utf-8", "replace"), len(words))
-    return b"".join(parts), at
+def size_class(n: int) -> int:
+    """Lengths of n bytes are compared with within a fifth of n or so."""
+    return int(4 * log2(n))
 
 
-def windows(text: str) -> list[tuple[int, float, float, int]]:
-    """(bytes, compression ratio, sentence ends for each 100 bytes, own characters) of each window.
+def windows(text: str) -> list[tuple[int, int, float, int]]:
+    """(size class, compression ratio in thousandths, sentence ends for each 100 bytes, own characters) of each window.
 
     A window's own characters are those nearer to its middle than to other windows'.
     """
-    data, at = normalised(text)
+    data = normalised(text)
     n = len(data)
-    starts = range(0, max(1, n - WINDOW + STEP), STEP) if n > WINDOW else (0,)
-    out, piece, before = [], 0, 0
-    ends, last = [], -1
-    for m in _ENDS.finditer(data):
-        if m.start() - last > _SENTENCE:
-            ends.append(m.start())
-        last = m.start()
-    low = high = 0
-    for k, start in enumerate(starts):
+    if not n:
+        return []
+    starts = [0] if n <= WINDOW else [*range(0, n - WINDOW, STEP), n - WINDOW]
+    ends = sentence_ends(data)
+    counted = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+    out, before = [], 0
+    for i, start in enumerate(starts):
         stop = min(start + WINDOW, n)
-        ratio = len(zlib.compress(data[start:stop], 6)) / (stop - start) if n else 1.0
-        while low < len(ends) and ends[low] < start:
-            low += 1
-        while high < len(ends) and ends[high] < stop:
-            high += 1
-        border = n if k == len(starts) - 1 else start + (WINDOW + STEP) // 2
-        while piece < len(at) and at[piece][0] <= border:
-            piece += 1
-        if piece == len(at):
-            chars = at[-1][1] if at else 0
-        else:  # within a piece, in proportion
-            b0, c0 = at[piece - 1] if piece else (0, 0)
-            b1, c1 = at[piece]
-            chars = c0 + (c1 - c0) * (border - b0) // (b1 - b0)
-        out.append((stop - start, ratio, 100 * (high - low) / max(1, stop - start), chars - before))
+        border = n if i == len(starts) - 1 else (stop + starts[i + 1]) // 2
+        chars = int(counted[border - 1])
+        within = bisect_left(ends, stop) - bisect_left(ends, start)
+        size = stop - start
+        out.append((size_class(size), 1000 * len(zlib.compress(data[start:stop], 6, wbits=-10)) // size, 100 * within / size, chars - before))
         before = chars
     return out
 
 
-MEASURED = "key long, lang string, w array<struct<n: int, ratio: double, ends: double, chars: int>>"
+MEASURED = "key long, lang string, w array<struct<size: int, ratio: int, ends: double, chars: int>>"
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("n", pa.int32()), ("ratio", pa.float64()), ("ends", pa.float64()), ("chars", pa.int32())]))
+    fields = [("size", pa.int32()), ("ratio", pa.int32()), ("ends", pa.float64()), ("chars", pa.int32())]
     for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            found = [[dict(zip(("n", "ratio", "ends", "chars"), w)) for w in windows(t)] for t in part["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([part["key"], part["lang"], pa.array(found, kind)], names=["key", "lang", "w"])
+        for first in range(0, batch.num_rows, 256):
+            part = batch.slice(first, 256)
+            found = [windows(t) if t else [] for t in part["text"].to_pylist()]
+            offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            columns = list(zip(*[w for ws in found for w in ws])) or [[]] * 4
+            values = pa.StructArray.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, fields)], fields=[pa.field(*f) for f in fields])
+            yield pa.RecordBatch.from_arrays([part["key"], part["lang"], pa.ListArray.from_arrays(pa.array(offsets), values)], names=["key", "lang", "w"])
 
 
-def _usual(measured: DataFrame) -> DataFrame:
-    """lang -> the usual ratio for each bin of lengths; over all windows of the corpus.
+def usual_ratios(measured: DataFrame) -> DataFrame:
+    """lang -> the usual ratio for each size class, in thousandths; over all windows of the corpus.
 
-    At most 26 * 26 languages and a rest, and LAST + 1 bins, so what comes to the driver is bounded.
-    A bin with few windows takes the value of all languages, or of all windows.
+    Ratios are whole thousandths, so counting them gives the exact share, in any order and at any
+    size; LEAN windows of all languages, in proportion, are added to each language's. The result has
+    at most 26 * 26 languages and one for the rest, with some hundred size classes each.
     """
-    each = measured.select("lang", F.explode("w").alias("w")).where(F.col("w.n") >= SHORTEST)
-    each = each.select("lang", F.least(F.lit(LAST), F.floor(F.col("w.n") / BIN)).alias("bin"), F.col("w.ratio").alias("ratio"))
-    rows = each.rollup("bin", "lang").agg(F.percentile_approx("ratio", USUAL, 1000), F.count(F.lit(1))).collect()
-    known = {(b, lang): ratio for b, lang, ratio, n in rows if n >= ENOUGH or b is None}
-    langs = sorted({lang for _, lang, _, _ in rows if lang is not None})
-    every = known.get((None, None), 1.0)
-    table = [(lang, [float(known.get((b, lang), known.get((b, None), every))) for b in range(LAST + 1)]) for lang in langs]
-    return measured.sparkSession.createDataFrame(table, "lang string, usual array<double>")
+    each = measured.select("lang", F.explode("w").alias("w")).select("lang", "w.size", "w.ratio")
+    counts = each.groupBy("lang", "size", "ratio").agg(F.count(F.lit(1)).alias("n"))
+    every = counts.groupBy("size", "ratio").agg(F.sum("n").alias("n"))
+    share = (F.lit(LEAN) * F.col("n") / F.sum("n").over(Window.partitionBy("size"))).alias("weight")
+    lent = counts.select("lang", "size").distinct().join(every.select("size", "ratio", share), "size")
+    both = counts.select("lang", "size", "ratio", F.col("n").cast("double").alias("weight")).unionByName(lent.select("lang", "size", "ratio", "weight"))
+    told = both.groupBy("lang", "size", "ratio").agg(F.sum("weight").alias("weight"))  # two numbers at most
+    kind = Window.partitionBy("lang", "size")
+    reached = F.sum("weight").over(kind.orderBy("ratio").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("weight").over(kind.orderBy("ratio").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    usual = told.withColumn("reached", reached >= USUAL * total).where("reached").groupBy("lang", "size").agg(F.min("ratio").alias("ratio"))
+    return usual.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("size", "ratio"))).alias("usual"))
 
 
 def stuffed_share(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     """key and share: the part of a text's characters in flagged windows' own, from 0 to 1.
 
-    NULL, empty and blank texts and those shorter than SHORTEST normalised bytes have no block to
-    measure: their share is 0. ``lang`` is a two-letter code in any case; anything else, NULL too,
-    is a language of its own. Rows keep their number. Very long texts are measured whole.
+    NULL, empty and blank texts have share 0. ``lang`` is a two-letter code in any case; anything
+    else, NULL too, is a language of its own. Rows keep their number. Very long texts are measured
+    whole, very short ones against texts as short.
     """
     code = F.lower(F.trim(F.col(lang)))
     code = F.when(code.rlike("^[a-z]{2}$"), code).otherwise("und")
     rows = df.select(F.col(key).cast("long").alias("key"), code.alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     measured = settled(rows.mapInArrow(_measured, MEASURED), "windows")
-    judged = measured.join(F.broadcast(_usual(measured)), "lang", "left")
+    judged = measured.join(F.broadcast(usual_ratios(measured)), "lang", "left")
 
     def flagged(w):
-        ratio = w["ratio"] / F.get(F.col("usual"), F.least(F.lit(LAST), F.floor(w["n"] / BIN)).cast("int"))
-        return (w["n"] >= SHORTEST) & ((ratio < EXTREME) | (ratio < RAISED) & (w["ends"] <= FEW_ENDS))
+        return (w["ratio"] < F.lit(EXTREME) * F.element_at("usual", w["size"])) & (w["ends"] <= FEW_ENDS)
 
     total = F.aggregate("w", F.lit(0).cast("long"), lambda s, w: s + w["chars"])
     spam = F.aggregate("w", F.lit(0).cast("long"), lambda s, w: s + F.when(flagged(w), w["chars"]).otherwise(0))
