@@ -6,9 +6,10 @@
    the piece size are cut, so that one giant file can't outgrow its group. Scheduling runs in
    shards of a bounded number of groups, so no task sees all files.
 3. Each group is streamed through pyarrow into one Parquet file, which is read back and verified
-   before an atomic rename publishes it. A repeated or speculative attempt writes the same bytes
-   of records under the same name.
-4. The manifest is checked against the records that had to be written, and published by a rename.
+   before an atomic rename gives it its name in a folder that no reader knows. A repeated or
+   speculative attempt writes the same records under the same name.
+4. The manifest's number and digest of records are compared with those of the records that had to
+   be written, and its files with the folder's. Only then two renames publish folder and manifest.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import heapq
 import math
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -108,15 +110,32 @@ def _filesystem(uri: str):
     return fs.LocalFileSystem(), uri
 
 
+def _mixed(h: np.ndarray, value: np.ndarray) -> np.ndarray:
+    h = (h ^ value) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
 def _digest(batch: pa.RecordBatch | pa.Table) -> int:
-    """Order-free: the sum of the records' mixed keys modulo 2**63."""
-    h = batch["parent_id"].to_numpy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    h ^= batch["slice"].to_numpy().astype(np.uint64) + (h >> np.uint64(29))
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
+    """Order-free, over all fields: the sum of the records' hashes modulo 2**63."""
+    h = _mixed(np.full(batch.num_rows, 0x9E3779B97F4A7C15, np.uint64), batch["parent_id"].to_numpy().view(np.uint64))
+    for c in ("slice", "start_pos", "end_pos"):
+        h = _mixed(h, batch[c].to_numpy().astype(np.int64).view(np.uint64))
+    chrom = batch["chrom"]
+    names = (chrom.combine_chunks() if isinstance(chrom, pa.ChunkedArray) else chrom).dictionary_encode()
+    if batch.num_rows:
+        h = _mixed(h, np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in names.dictionary.to_pylist()], np.uint64)[names.indices.to_numpy()])
     return int(h.sum(dtype=np.uint64)) % (1 << 63)
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    digest = sum(_digest(b) for b in batches) % (1 << 63)
+    yield pa.RecordBatch.from_pydict({"digest": pa.array([digest], pa.int64())})
+
+
+def _total(digests: DataFrame) -> int:
+    return int(digests.agg(F.coalesce(F.sum(F.col("digest").cast("decimal(38,0)")), F.lit(0))).first()[0]) % (1 << 63)
+
+
 def _write_groups(target: str):
     schema = pa.schema([("parent_id", pa.int64()), ("slice", pa.int32()), ("chrom", pa.string()), ("start_pos", pa.int64()), ("end_pos", pa.int64())])
 
@@ -133,7 +152,7 @@ def _write_groups(target: str):
             writer.close()
             with pq.ParquetFile(attempt, filesystem=fs) as back:
                 seen = sum(x.num_rows for x in back.iter_batches(columns=["parent_id"]))
-                again = sum(_digest(x) for x in back.iter_batches(columns=["parent_id", "slice"])) % (1 << 63)
+                again = sum(_digest(x) for x in back.iter_batches()) % (1 << 63)
             if (seen, again) != (rows, digest):
                 fs.delete_file(attempt)
                 raise OSError(f"group {group}: {seen} of {rows} records could be read back, or other ones")
@@ -171,13 +190,15 @@ class Compacted:
 
 
 def compact(
-    files: DataFrame, target_bytes: int = 128 << 20, piece_rows: int = 1 << 20, groups_per_shard: int = 64, where: str | None = None
+    files: DataFrame, target_bytes: int = 128 << 20, piece_rows: int = 1 << 16, groups_per_shard: int = 64, where: str | None = None,
+    least_bytes: int = 1 << 20,
 ) -> Compacted:
     """Regroups the records of ``files`` (file_id, body) into Parquet files of about ``target_bytes``.
 
-    Returns the published paths: ``data`` with the files, ``manifest`` with one row for each.
-    Repeated rows of a file, NULL and empty bodies and other columns make no difference; without
-    any record, one empty file is published.
+    Where that gives fewer files than there are cores, there are as many as cores, if they hold
+    ``least_bytes`` each. Returns the published paths: ``data`` with the files, ``manifest`` with one
+    row for each. Repeated rows of a file, NULL and empty bodies and other columns make no
+    difference; without any record, one empty file is published.
     """
     spark = files.sparkSession
     where = where or scratch_path(spark, "compacted")
@@ -185,22 +206,34 @@ def compact(
     kept = settled(kept.withColumn("piece", F.floor(F.col("line_no") / piece_rows)), "records")
     units = kept.groupBy("file_id", "piece").agg(F.sum(F.length("chrom") + RECORD_BYTES).alias("bytes"), F.count(F.lit(1)).alias("n"))
     size, n_records = units.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    groups = max(1, math.ceil(size / target_bytes))
+    groups = max(1, math.ceil(size / target_bytes), min(spark.sparkContext.defaultParallelism, size // least_bytes))
     placed = schedule_longest_first(units, groups, groups_per_shard)
-    data, manifest = f"{where}/data", f"{where}/manifest"
+    data, manifest, staged = f"{where}/data", f"{where}/manifest", f"{where}/_staged-{uuid.uuid4().hex}"
     if n_records == 0:
-        kept.select(*FIELDS).write.parquet(data)
+        kept.select(*FIELDS).write.parquet(staged)
+    # a group's number is its partition, so that the schedule's balance is that of the tasks
     streams = (
         kept.join(placed.select("file_id", "piece", "group_id"), ["file_id", "piece"])
-        .select("group_id", *FIELDS)
-        .repartition(groups, "group_id")
+        .select(F.col("group_id").cast("int").alias("group_id"), *FIELDS)
+        .repartitionById(groups, "group_id")
         .sortWithinPartitions("group_id", "parent_id", "slice")
     )
     attempt = f"{where}/_manifest-{uuid.uuid4().hex}"
-    streams.mapInArrow(_write_groups(data), "group_id long, file string, n_records long, n_bytes long, digest long").write.parquet(attempt)
-    written = spark.read.parquet(attempt).agg(F.coalesce(F.sum("n_records"), F.lit(0))).first()[0]
-    if written != n_records:
-        raise OSError(f"{written} of {n_records} records are in the regrouped files; nothing is published")
-    fs, path = _filesystem(attempt)
-    fs.move(path, _filesystem(manifest)[1])
+    streams.mapInArrow(_write_groups(staged), "group_id long, file string, n_records long, n_bytes long, digest long").write.parquet(attempt)
+    told = spark.read.parquet(attempt)
+    written, n_files = told.agg(F.coalesce(F.sum("n_records"), F.lit(0)), F.count(F.lit(1))).first()
+    wanted = _total(kept.select(*FIELDS).mapInArrow(_digests, "digest long"))
+    fs, path = _filesystem(staged)
+    there = _group_files(fs, path) if n_records else 0
+    if (written, _total(told), there) != (n_records, wanted, n_files):
+        fs.delete_dir(path)
+        raise OSError(f"{written} of {n_records} records are in {there} regrouped files, or other ones; nothing is published")
+    fs.move(path, _filesystem(data)[1])
+    fs.move(_filesystem(attempt)[1], _filesystem(manifest)[1])
     return Compacted(data, manifest, n_records, groups)
+
+
+def _group_files(fs, path: str) -> int:
+    from pyarrow.fs import FileSelector
+
+    return sum(x.base_name.startswith("group-") for x in fs.get_file_info(FileSelector(path)))

@@ -18,9 +18,16 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each regrouped file, from files of about 1 MB, so that small tables give several."""
-    done = compact(table(spark, sf_dir, "slice_files"), target_bytes=1 << 20, groups_per_shard=16)
-    return spark.read.parquet(done.manifest).select("group_id", "n_records")
+    """The verified manifest: one row for each regrouped file."""
+    return spark.read.parquet(compact(table(spark, sf_dir, "slice_files")).manifest)
+
+
+def p3_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by the manifest, in the files, and different ones in the files: the same number three times."""
+    done = compact(table(spark, sf_dir, "slice_files"))
+    listed = spark.read.parquet(done.manifest).agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("n_listed"))
+    held = spark.read.parquet(done.data).agg(F.count(F.lit(1)).alias("n_held"), F.countDistinct("parent_id", "slice").alias("n_different"))
+    return listed.join(held)  # one row each
 
 
 def _captured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +62,7 @@ def p4_capture_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p3_manifest, p4_found, p4_capture_stats)}
+    return {f.__name__: f for f in (p3_found, p3_manifest, p3_totals, p4_found, p4_capture_stats)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -65,15 +72,17 @@ def oracle_sql() -> dict[str, str]:
         FROM {t} WHERE NOT {sql_missing("capture")}"""
         for t in ("slices", "test_slices_to_filter_capture")
     )
-    return {
-        "p3_found": r"""
-            WITH lines AS (SELECT unnest(regexp_split_to_array(body, '\r\n|\n|\r')) AS line FROM slice_files),
+    records = r"""lines AS (SELECT unnest(regexp_split_to_array(body, '\r\n|\n|\r')) AS line FROM slice_files),
             fields AS (SELECT string_split(line, chr(9)) AS f FROM lines),
             records AS (
                 SELECT TRY_CAST(trim(f[1]) AS HUGEINT) AS p, TRY_CAST(trim(f[2]) AS INTEGER) AS slice FROM fields
-                WHERE len(f) = 5 AND regexp_full_match(trim(f[1]), '[+-]?[0-9]+'))
-            SELECT DISTINCT CAST(CASE WHEN p >= 9223372036854775808 THEN p - 18446744073709551616 ELSE p END AS BIGINT) AS parent_id, slice
-            FROM records WHERE p IS NOT NULL AND slice IS NOT NULL""",
+                WHERE len(f) = 5 AND regexp_full_match(trim(f[1]), '[+-]?[0-9]+')),
+            once AS (
+                SELECT DISTINCT CAST(CASE WHEN p >= 9223372036854775808 THEN p - 18446744073709551616 ELSE p END AS BIGINT) AS parent_id, slice
+                FROM records WHERE p IS NOT NULL AND slice IS NOT NULL)"""
+    return {
+        "p3_found": f"WITH {records} SELECT parent_id, slice FROM once",
+        "p3_totals": f"WITH {records} SELECT count(*) AS n_listed, count(*) AS n_held, count(*) AS n_different FROM once",
         "p4_found": f"""
             WITH captured AS ({captured}),
             n AS (SELECT table_name, bam, capture, count(*) AS n FROM captured GROUP BY ALL)

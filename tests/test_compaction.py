@@ -68,3 +68,30 @@ def test_a_file_that_cannot_be_read_back_is_not_published(spark, tmp_path, monke
     with pytest.raises(OSError):
         list(c._write_groups(str(tmp_path / "b"))(iter([batch])))
     assert os.listdir(tmp_path / "b") == []
+
+
+def test_nothing_is_published_that_differs_from_the_source(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(c, "_total", lambda df, n=iter(range(9)): next(n))  # digests that differ
+    with pytest.raises(OSError, match="nothing is published"):
+        c.compact(files(spark), where=str(tmp_path / "out"))
+    assert not any(x in ("data", "manifest") or x.startswith("_staged") for x in os.listdir(tmp_path / "out"))
+
+
+def test_digests_see_every_field():
+    import pyarrow as pa
+
+    row = {"parent_id": 5, "slice": 1, "chrom": "chr1", "start_pos": 10, "end_pos": 20}
+    digest = lambda **x: c._digest(pa.RecordBatch.from_pylist([row | x], pa.schema([("parent_id", pa.int64()), ("slice", pa.int32()), ("chrom", pa.string()), ("start_pos", pa.int64()), ("end_pos", pa.int64())])))
+    assert len({digest(), digest(parent_id=6), digest(slice=2), digest(chrom="chr2"), digest(start_pos=11), digest(end_pos=21)}) == 6
+
+
+def test_each_group_is_a_task_of_its_own(spark):
+    rows = spark.range(64).select(F.col("id").cast("int").alias("group_id")).repartition(5)
+    parts = rows.repartitionById(64, "group_id").select("group_id", F.spark_partition_id().alias("p")).collect()
+    assert all(r.group_id == r.p for r in parts)
+
+
+def test_small_inputs_use_every_core(spark):
+    rows = [(f, "".join(f"{f * 100_000 + i}\t1\tchr1\t1\t2\n" for i in range(50))) for f in range(400)]
+    done = c.compact(files(spark, rows), least_bytes=50_000)
+    assert done.n_groups == spark.sparkContext.defaultParallelism == spark.read.parquet(done.manifest).count()
