@@ -32,15 +32,20 @@ def _number(c: Column) -> Column:
     return F.coalesce(c.try_cast("bigint").cast("string"), c)
 
 
+#: Names that are in plain form but for letter case: nearly all, so that the rest's work is done for the rest.
+_USUAL_SLICE = r"^[!-{}~]+\|[a-z]+\|(?:0|[1-9][0-9]{0,17})\|(?:0|[1-9][0-9]{0,17})$"
+
+
 def plain_slice(c: Column) -> Column:
     """``read|pe|slice|uid`` with each part in plain form, the last two as numbers.
 
     A name that hasn't four parts keeps those it has, each in plain form.
     """
+    c = F.lower(c)
     parts = F.split(c, r"\|")
     part = [plain(F.get(parts, F.lit(i))) for i in range(4)]
     usual = F.concat_ws("|", part[0], part[1], _number(part[2]), _number(part[3]))
-    return F.when(F.size(parts) == 4, usual).otherwise(F.array_join(F.transform(parts, plain), "|"))
+    return F.when(c.rlike(_USUAL_SLICE), c).when(F.size(parts) == 4, usual).otherwise(F.array_join(F.transform(parts, plain), "|"))
 
 
 # The same in SQL, for the checks against another engine.
