@@ -20,7 +20,7 @@ from ..session import settled
 
 #: Codes gathered before a run is sorted and counted: 32 MB.
 RUN_CODES = 1 << 22
-#: Items of a basket whose pairs are made at once; longer baskets are taken block by block.
+#: Items of a basket whose pairs are made by one task; of longer baskets each two blocks are a row of their own.
 BLOCK_ITEMS = 1024
 LARGEST_ITEM = (1 << 31) - 1
 RUNS = "grp string, code long, n long"
@@ -41,17 +41,20 @@ def _codes(offsets: np.ndarray, items: np.ndarray) -> Iterator[np.ndarray]:
         if k < 2:
             continue
         starts = offsets[:-1][sizes == k]
-        if k <= BLOCK_ITEMS:
-            step = max(1, RUN_CODES // int(k * (k - 1) // 2))
-            for i in range(0, len(starts), step):
-                yield _pairs(items[starts[i : i + step, None] + np.arange(k)])
-            continue
-        for start in starts:
-            blocks = [items[start + i : start + min(i + BLOCK_ITEMS, k)] for i in range(0, k, BLOCK_ITEMS)]
-            for i, one in enumerate(blocks):
-                yield _pairs(one[None, :])
-                for other in blocks[i + 1 :]:
-                    yield ((one[:, None] << 32) | other[None, :]).ravel()
+        step = max(1, RUN_CODES // int(k * (k - 1) // 2))
+        for i in range(0, len(starts), step):
+            yield _pairs(items[starts[i : i + step, None] + np.arange(k)])
+
+
+def _block_codes(first: bool, one: np.ndarray, other: np.ndarray | None) -> Iterator[np.ndarray]:
+    """The codes of a large basket's block with itself, or with a later block."""
+    if other is not None:
+        yield ((one[:, None] << 32) | other[None, :]).ravel()
+        return
+    if first:
+        yield np.full(1, -1, np.int64)
+    yield (one << 32) | one
+    yield _pairs(one[None, :])
 
 
 def _run(groups: list[str | None], gathered: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -63,37 +66,73 @@ def _run(groups: list[str | None], gathered: dict[int, list[np.ndarray]]) -> Ite
         )
 
 
+def _checked(items: np.ndarray) -> np.ndarray:
+    if len(items) and (items.min() < 0 or items.max() > LARGEST_ITEM):
+        raise ValueError(f"items must lie between 0 and {LARGEST_ITEM} to be packed in pairs")
+    return items
+
+
+class _Runs:
+    """Gathers codes by group, and gives them out as sorted, counted runs."""
+
+    def __init__(self) -> None:
+        self.groups: list[str | None] = []
+        self.number: dict[str | None, int] = {}
+        self.gathered: dict[int, list[np.ndarray]] = {}
+        self.held = 0
+
+    def add(self, group: str | None, codes: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if group not in self.number:
+            self.number[group] = len(self.groups)
+            self.groups.append(group)
+        for c in codes:
+            self.gathered.setdefault(self.number[group], []).append(c)
+            self.held += len(c)
+            if self.held >= RUN_CODES:
+                yield from self.out()
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        yield from _run(self.groups, self.gathered)
+        self.gathered, self.held = {}, 0
+
+
 def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Baskets (grp, items) -> sorted, counted runs of codes."""
-    groups: list[str | None] = []
-    number: dict[str | None, int] = {}
-    gathered: dict[int, list[np.ndarray]] = {}
-    held = 0
+    runs = _Runs()
     for batch in batches:
         lists = batch["items"]
         offsets = lists.offsets.to_numpy().astype(np.int64)
-        items = lists.values.to_numpy()
-        if len(items) and (items.min() < 0 or items.max() > LARGEST_ITEM):
-            raise ValueError(f"items must lie between 0 and {LARGEST_ITEM} to be packed in pairs")
+        items = _checked(lists.values.to_numpy())
         names = batch["grp"].dictionary_encode()
         of = names.indices.fill_null(-1).to_numpy()
         known = names.dictionary.to_pylist()
         for i in np.unique(of):
-            name = None if i < 0 else known[i]
-            if name not in number:
-                number[name] = len(groups)
-                groups.append(name)
             rows = np.flatnonzero(of == i)
             sizes = offsets[rows + 1] - offsets[rows]
             own = np.concatenate([[0], np.cumsum(sizes)])
             taken = items[np.repeat(offsets[rows] - own[:-1], sizes) + np.arange(own[-1])]
-            for codes in _codes(own, taken):
-                gathered.setdefault(number[name], []).append(codes)
-                held += len(codes)
-                if held >= RUN_CODES:
-                    yield from _run(groups, gathered)
-                    gathered, held = {}, 0
-    yield from _run(groups, gathered)
+            yield from runs.add(None if i < 0 else known[i], _codes(own, taken))
+    yield from runs.out()
+
+
+def _block_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Two blocks of a large basket (grp, i, j, one, other) in a row -> runs."""
+    runs = _Runs()
+    for batch in batches:
+        for k in range(batch.num_rows):
+            i, j = batch["i"][k].as_py(), batch["j"][k].as_py()
+            one, other = (_checked(batch[c][k].values.to_numpy()) for c in ("one", "other"))
+            yield from runs.add(batch["grp"][k].as_py(), _block_codes(i == 0, one, None if i == j else other))
+    yield from runs.out()
+
+
+def in_blocks(baskets: DataFrame, block: int) -> DataFrame:
+    """Each two blocks of a basket in a row of its own, spread over all tasks: grp, i <= j, one, other."""
+    last = F.floor((F.size("items") - 1) / block).cast("int")
+    pairs = baskets.select("grp", "items", F.explode(F.sequence(F.lit(0), last)).alias("i"), last.alias("last"))
+    pairs = pairs.select("grp", "items", "i", F.explode(F.sequence("i", "last")).alias("j"))
+    of = lambda k: F.slice("items", F.col(k) * block + 1, block)
+    return pairs.select("grp", "i", "j", of("i").alias("one"), of("j").alias("other")).repartition("grp", "i", "j", F.xxhash64("one"))
 
 
 def _merged(min_count: int):
@@ -143,7 +182,9 @@ def cooccurrence(df: DataFrame, group: str, basket: str, item: str, min_count: i
     rows = df.select(F.col(group).cast("string").alias("grp"), F.col(basket).alias("basket"), F.col(item).cast("long").alias("item"))
     # a basket's distinct items are bounded by the items there are; repeated rows collapse before the shuffle
     baskets = rows.where("basket IS NOT NULL").groupBy("grp", "basket").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    runs = baskets.select("grp", "items").mapInArrow(_sorted_runs, RUNS)
+    # baskets with many items are dealt out by blocks; both branches read one shuffle
+    runs = baskets.where(F.size("items") <= BLOCK_ITEMS).select("grp", "items").mapInArrow(_sorted_runs, RUNS)
+    runs = runs.unionByName(in_blocks(baskets.where(F.size("items") > BLOCK_ITEMS), BLOCK_ITEMS).mapInArrow(_block_runs, RUNS))
     merged = runs.repartition("grp", "code").sortWithinPartitions("grp", "code").mapInArrow(_merged(min_count), RUNS)
     counts = settled(merged, "pair-counts").select(
         "grp", "n", "code", F.shiftright("code", 32).alias("a"), F.col("code").bitwiseAND(F.lit(0xFFFFFFFF)).alias("b")

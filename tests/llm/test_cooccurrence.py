@@ -40,11 +40,20 @@ def test_counts_are_those_of_brute_force(spark, monkeypatch, run, block):
     assert got(c.cooccurrence(spark.createDataFrame(rows, ROWS), "g", "b", "i")) == brute(rows)
 
 
-def test_runs_of_large_baskets_in_blocks(monkeypatch):
-    monkeypatch.setattr(c, "BLOCK_ITEMS", 4)
-    items = np.arange(11, dtype=np.int64) * 3
-    codes = np.concatenate(list(c._codes(np.array([0, 11]), items)))
-    assert sorted(codes[codes >= 0].tolist()) == sorted([(int(a) << 32) | int(b) for a in items for b in items if a <= b])
+def test_a_large_basket_is_dealt_out_by_blocks(spark):
+    baskets = spark.createDataFrame([("g", list(range(0, 33, 3))), (None, [1])], "grp string, items array<long>")
+    rows = c.in_blocks(baskets, 4).collect()
+    assert sorted((r.i, r.j) for r in rows if r.grp) == [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]
+    codes = np.concatenate([x for r in rows if r.grp for x in c._block_codes(r.i == 0, np.array(r.one), None if r.i == r.j else np.array(r.other))])
+    assert sorted(codes.tolist()) == sorted([-1] + [(a << 32) | b for a in range(0, 33, 3) for b in range(0, 33, 3) if a <= b])
+
+
+def test_one_basket_of_many_items(spark):
+    n = 3000
+    df = spark.range(n).selectExpr("'g' AS g", "'hot' AS b", "id AS i").unionByName(spark.createDataFrame([("g", "x", 0), ("g", "x", n - 1)], ROWS).selectExpr("g", "b", "i"))
+    out = c.cooccurrence(df, "g", "b", "i")
+    assert out.count() == n * (n - 1) // 2
+    assert got(out.where("n_ab = 2")) == {("g", 0, n - 1): (2, 2, 2, 2)}
 
 
 def test_measures_and_least_count(spark):
