@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,12 +74,47 @@ def annotate_count(a: DataFrame, key: str, b: DataFrame, name: str, fraction: fl
     return a.join(kept.select(key, F.col("__n__").alias(name)), key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
+def _summaries(a: DataFrame, key: str, specs: Sequence[Mapping], width: int) -> DataFrame:
+    """key and a column for each best or count: all sets of intervals go through one overlap join and one aggregation."""
+    sets = []
+    for k, spec in enumerate(specs):
+        b = spec["b"]
+        name = F.col("name").cast("string") if spec["action"] == "best" else F.lit(None).cast("string")
+        sets.append(b.select("chrom", "start_pos", "end_pos", name.alias("name"), F.lit(2 * k).alias("k")))
+        if spec["action"] == "count":
+            sets.append(merge_intervals(b).select("chrom", "start_pos", "end_pos", F.lit(None).cast("string").alias("name"), F.lit(2 * k + 1).alias("k")))
+    pairs = overlaps(a.select(key, "chrom", "start_pos", "end_pos"), reduce(DataFrame.unionByName, sets), width)
+    length = F.col("end_pos") - F.col("start_pos")
+    states, out = [], [F.col(key)]
+    for k, spec in enumerate(specs):
+        of = F.col("b_k") == 2 * k
+        if spec["action"] == "best":
+            kind = spec["b"].schema["name"].dataType
+            named = F.col("b_name").cast(kind)
+            states.append(F.min_by(F.when(of, named), F.when(of & at_least(F.col("overlap"), length, spec.get("fraction", 0.0)), F.struct(-F.col("overlap"), named))).alias(f"s{k}"))
+            out.append(F.col(f"s{k}").alias(spec["name"]))
+        else:
+            states += [F.count_if(of).cast("int").alias(f"s{k}"), F.coalesce(F.sum(F.when(F.col("b_k") == 2 * k + 1, F.col("overlap"))), F.lit(0)).alias(f"c{k}")]
+            out.append(F.when(at_least(F.col(f"c{k}"), F.col("__length__"), spec.get("fraction", 0.0)), F.col(f"s{k}")).alias(spec["name"]))
+    return pairs.groupBy(key).agg(F.first(length).alias("__length__"), *states).select(*out)
+
+
 def annotate_many(a: DataFrame, key: str, specs: Sequence[Mapping], width: int = BUCKET) -> DataFrame:
-    """Several annotations in turn: each a mapping of action (get, best or count), b, name and fraction."""
-    actions = {"get": annotate_get, "best": annotate_best, "count": annotate_count}
+    """Several annotations: each a mapping of action (get, best or count), b, name and fraction.
+
+    Those that give a row for each row of a are made in one pass; each get may give several rows.
+    """
+    single = [s for s in specs if s["action"] != "get"]
+    out = a
     for spec in specs:
-        a = actions[spec["action"]](a, key, spec["b"], spec["name"], spec.get("fraction", 0.0), width)
-    return a
+        if spec["action"] == "get":
+            out = annotate_get(out, key, spec["b"], spec["name"], spec.get("fraction", 0.0), width) if out is a else out.join(
+                annotate_get(a.select(key, "chrom", "start_pos", "end_pos"), key, spec["b"], spec["name"], spec.get("fraction", 0.0), width).select(key, spec["name"]), key, "left"
+            )
+    if single:
+        out = out.join(_summaries(a, key, single, width), key, "left")
+    counts = {s["name"]: F.coalesce(s["name"], F.lit(0)) for s in single if s["action"] == "count"}
+    return out.withColumns(counts).select(*a.columns, *[s["name"] for s in specs]) if specs else a
 
 
 #: Name, action and least overlap of the usual annotations. Fixed values.
@@ -92,31 +128,62 @@ ANNOTATION_DEFAULTS = (
 )
 
 
+#: Intervals that start within a stretch of this many bases are taken by one task.
+STRETCH = 1 << 18
+
+
+def _before(summary: DataFrame, by: Sequence[str], value: Column, name: str) -> DataFrame:
+    """by, __stretch__ and ``value`` over the earlier stretches; a row for each stretch, so by their number at most in a task."""
+    earlier = Window.partitionBy(*by).orderBy("__stretch__").rowsBetween(Window.unboundedPreceding, -1)
+    return summary.select(*[F.col(c).alias(f"__{c}__") for c in by], F.col("__stretch__").alias("__at__"), value.over(earlier).alias(name))
+
+
+def _with_before(df: DataFrame, before: DataFrame, by: Sequence[str]) -> DataFrame:
+    same = F.col("__stretch__").eqNullSafe(F.col("__at__"))
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}__"))
+    return df.join(before, same, "left").drop("__at__", *[f"__{c}__" for c in by])
+
+
 def cluster_intervals(df: DataFrame, slack: int = 0, by: Sequence[str] = ("chrom",)) -> DataFrame:
     """df with ``cluster``, a number for each chrom (or other ``by``) and run of intervals that overlap or come within slack.
 
-    With slack 0 touching intervals are one cluster, with -1 they aren't.
+    With slack 0 touching intervals are one cluster, with -1 they aren't. Windows are over stretches of
+    a chromosome; from stretch to stretch only how far intervals reach and how many clusters began is
+    carried on.
     """
+    by = list(by)
+    parts = df.withColumn("__stretch__", F.floor(F.col("start_pos") / STRETCH))
+    keys = [*by, "__stretch__"]
+    order = Window.partitionBy(*keys).orderBy("start_pos", "end_pos")
+    near = F.max("end_pos").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    far = _before(parts.groupBy(*keys).agg(F.max("end_pos").alias("__end__")), by, F.max("__end__"), "__reach__")
+    reach = F.greatest("__near__", "__reach__")  # NULL only where both are
+    begins = F.when(reach.isNull() | (F.col("start_pos") > reach + slack), 1).otherwise(0)
+    begun = _with_before(parts.withColumn("__near__", near), far, by).withColumn("__begins__", begins).drop("__near__", "__reach__")
+    earlier = _before(begun.groupBy(*keys).agg(F.sum("__begins__").alias("__n__")), by, F.sum("__n__"), "__earlier__")
+    own = F.sum("__begins__").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = _with_before(begun.withColumn("__own__", own), earlier, by)
+    return numbered.withColumn("cluster", F.coalesce("__earlier__", F.lit(0)) + F.col("__own__")).drop("__begins__", "__own__", "__earlier__", "__stretch__")
+
+
+def _local_clusters(df: DataFrame, slack: int, by: Sequence[str]) -> DataFrame:
     order = Window.partitionBy(*by).orderBy("start_pos", "end_pos")
     reach = F.max("end_pos").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.when(F.col("start_pos") > reach + slack, 1).otherwise(F.when(reach.isNull(), 1).otherwise(0))
+    begins = F.when(reach.isNull() | (F.col("start_pos") > reach + slack), 1).otherwise(0)
     return df.withColumn("__begins__", begins).withColumn("cluster", F.sum("__begins__").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("__begins__")
 
 
-#: Starts within a stretch of this many bases are merged by one task first.
-STRETCH = 1 << 20
-
-
 def merge_intervals(df: DataFrame, slack: int = 0) -> DataFrame:
     """The union of the intervals: chrom, start_pos, end_pos without overlaps.
 
     Intervals that start on one stretch of a chromosome are merged first, so that a whole chromosome
     only meets what is left of them.
     """
-    some = df.where("end_pos > start_pos AND chrom IS NOT NULL").select("chrom", "start_pos", "end_pos")
+    some = df.where("end_pos > start_pos AND chrom IS NOT NULL").select("chrom", "start_pos", "end_pos").distinct()
     whole = [F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")]
     stretches = some.withColumn("stretch", F.floor(F.col("start_pos") / STRETCH))
-    local = cluster_intervals(stretches, slack, ("chrom", "stretch")).groupBy("chrom", "stretch", "cluster").agg(*whole)
+    local = _local_clusters(stretches, slack, ("chrom", "stretch")).groupBy("chrom", "stretch", "cluster").agg(*whole)
     return cluster_intervals(local.select("chrom", "start_pos", "end_pos"), slack).groupBy("chrom", "cluster").agg(*whole).drop("cluster")
 
 

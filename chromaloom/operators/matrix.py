@@ -29,11 +29,12 @@ def with_viewpoint(df: DataFrame) -> DataFrame:
 
 def count_pixels(
     df: DataFrame, sample: str = "bam", remove_viewpoint: bool = False, remove_exclusions: bool = False, subsample: float | None = None,
-    seed: int = 0, within: bool = False,
+    seed: int = 0, within: bool = False, block: int = 256,
 ) -> DataFrame:
     """Fragments that hold both restriction fragments, for each pair of them (with ``within`` also of one with itself).
 
-    Pairs are made within a row, from a fragment's sorted restriction fragments: no join.
+    Pairs are made within a row, from a fragment's sorted restriction fragments: no join. Of a fragment
+    with many of them each two blocks of ``block`` are a row of its own, dealt over all tasks.
     """
     if remove_viewpoint:
         df = df.where("capture_count = 0")
@@ -44,8 +45,15 @@ def count_pixels(
     rows = df.where("restriction_fragment IS NOT NULL AND viewpoint IS NOT NULL")
     held = rows.groupBy("parent_id", F.col(sample).alias("sample"), "viewpoint").agg(F.sort_array(F.collect_set("restriction_fragment")).alias("rf"))
     ahead = (lambda x, i: F.slice("rf", i + 1, F.size("rf"))) if within else (lambda x, i: F.slice("rf", i + 2, F.size("rf")))
-    pairs = F.flatten(F.transform("rf", lambda x, i: F.transform(ahead(x, i), lambda y: F.struct(x.alias("bin1_id"), y.alias("bin2_id")))))
-    each = held.select("sample", "viewpoint", F.explode(pairs).alias("p")).select("sample", "viewpoint", "p.*")
+    paired = lambda one, others: F.flatten(F.transform(one, lambda x, i: F.transform(others(x, i), lambda y: F.struct(x.alias("bin1_id"), y.alias("bin2_id")))))
+    few = held.where(F.size("rf") <= block).select("sample", "viewpoint", F.explode(paired("rf", ahead)).alias("p"))
+    last = F.floor((F.size("rf") - 1) / block).cast("int")
+    many = held.where(F.size("rf") > block).select("*", F.explode(F.sequence(F.lit(0), last)).alias("i"), last.alias("last"))
+    many = many.select("*", F.explode(F.sequence("i", "last")).alias("j"))
+    part = lambda k: F.slice("rf", F.col(k) * block + 1, block)
+    many = many.select("parent_id", "sample", "viewpoint", "i", "j", part("i").alias("rf"), part("j").alias("other")).repartition("parent_id", "i", "j")
+    inner = F.when(F.col("i") == F.col("j"), paired("rf", ahead)).otherwise(paired("rf", lambda x, i: F.col("other")))
+    each = few.unionByName(many.select("sample", "viewpoint", F.explode(inner).alias("p"))).select("sample", "viewpoint", "p.*")
     return each.groupBy(*PIXEL).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -38,16 +38,23 @@ def digest_genome(sequences: DataFrame, enzyme: str, minimum: int = 18, keep_sit
     return placed.where(F.col("end_pos") - F.col("start_pos") >= minimum)
 
 
+#: Fragments that start within a stretch of this many bases are numbered by one task.
+STRETCH = 1 << 20
+
+
 def numbered(fragments: DataFrame) -> DataFrame:
     """Fragments with ``name``: their number in genomic order, from 0.
 
-    Counts per chromosome are added up, so that no task sees more than one chromosome.
+    Counts per stretch of a chromosome are added up, so that no task sees more than a stretch's
+    fragments, or a row for each stretch.
     """
-    order = Window.partitionBy("chrom").orderBy("start_pos", "end_pos")
-    before = Window.orderBy("chrom").rowsBetween(Window.unboundedPreceding, -1)  # one row a chromosome
-    offset = fragments.groupBy("chrom").agg(F.count(F.lit(1)).alias("n")).select("chrom", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    local = fragments.withColumn("i", F.row_number().over(order) - 1)
-    return local.join(offset, "chrom").withColumn("name", F.col("offset") + F.col("i")).drop("offset", "i")
+    parts = fragments.withColumn("__stretch__", F.floor(F.col("start_pos") / STRETCH))
+    order = Window.partitionBy("chrom", "__stretch__").orderBy("start_pos", "end_pos")
+    before = Window.orderBy("chrom", "__stretch__").rowsBetween(Window.unboundedPreceding, -1)  # one row a stretch
+    counted = parts.groupBy("chrom", "__stretch__").agg(F.count(F.lit(1)).alias("n"))
+    offset = counted.select("chrom", "__stretch__", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset__"))
+    local = parts.withColumn("__i__", F.row_number().over(order) - 1).join(offset, ["chrom", "__stretch__"])
+    return local.withColumn("name", F.col("__offset__") + F.col("__i__")).drop("__offset__", "__i__", "__stretch__")
 
 
 def digest_reads(reads: DataFrame, enzyme: str, read_type: str = "flashed", minimum: int = 18) -> DataFrame:

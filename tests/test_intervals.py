@@ -63,3 +63,45 @@ def test_union_of_profiles(spark):
     df = spark.createDataFrame(rows, "sample string, chrom string, start_pos long, end_pos long, n long")
     got = sorted(tuple(r) for r in intervals.union_table(df, "sample", "n", ["a", "b"]).collect())
     assert got == [("chr1", 0, 5, 1, 0), ("chr1", 5, 10, 1, 2), ("chr1", 10, 15, 0, 2)]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(SPAN, max_size=14), st.sampled_from([0, -1, 9]), st.sampled_from([8, 64, 1 << 18]))
+def test_clusters_are_the_plain_ones_at_any_stretch(spark, a, slack, stretch):
+    before, intervals.STRETCH = intervals.STRETCH, stretch
+    try:
+        rows = intervals.cluster_intervals(frame(spark, a, "i"), slack).collect()
+    finally:
+        intervals.STRETCH = before
+    want, reach, number = {}, {}, {}
+    for i, (c, s, e) in sorted(enumerate(a), key=lambda x: (x[1], x[0])):
+        if c not in reach or s > reach[c] + slack:
+            number[c] = number.get(c, 0) + 1
+        reach[c] = max(reach.get(c, e), e)
+        want[i] = (c, number[c])
+    assert {r.i: (r.chrom, r.cluster) for r in rows} == want
+
+
+def test_no_window_holds_a_chromosome(spark):
+    df = spark.range(100).selectExpr("'chr1' AS chrom", "id * 5000000 AS start_pos", "id * 5000000 + 10 AS end_pos")
+    plan = intervals.cluster_intervals(df)._jdf.queryExecution().optimizedPlan().toString()
+    rows = [line for line in plan.splitlines() if "Window" in line]
+    assert rows and all("__stretch__" in line for line in rows)
+    assert {r.cluster for r in intervals.cluster_intervals(df).collect()} == set(range(1, 101))
+
+
+def test_many_annotations_are_the_single_ones(spark):
+    a = spark.createDataFrame([(i, "chr1", i * 50, i * 50 + 60) for i in range(20)] + [(20, None, None, None), (21, "chr9", 1, 5)], "k long, chrom string, start_pos long, end_pos long")
+    b = spark.createDataFrame([("chr1", i * 70, i * 70 + 90, f"b{i}") for i in range(9)], "chrom string, start_pos long, end_pos long, name string")
+    ids = b.selectExpr("chrom", "start_pos", "end_pos", "CAST(substr(name, 2) AS long) AS name")
+    specs = [
+        {"action": "best", "b": ids, "name": "f", "fraction": 0.3}, {"action": "get", "b": b, "name": "g", "fraction": 0.5},
+        {"action": "count", "b": b, "name": "n", "fraction": 0.9}, {"action": "best", "b": b, "name": "h"}, {"action": "get", "b": ids, "name": "q"},
+    ]
+    many = intervals.annotate_many(a, "k", specs)
+    assert many.columns == [*a.columns, "f", "g", "n", "h", "q"] and dict(many.dtypes)["f"] == "bigint"
+    one = {"best": intervals.annotate_best, "get": intervals.annotate_get, "count": intervals.annotate_count}
+    for s in specs:
+        want = one[s["action"]](a, "k", s["b"], s["name"], s.get("fraction", 0.0)).select("k", s["name"]).distinct()
+        assert sorted(map(repr, want.collect())) == sorted(map(repr, many.select("k", s["name"]).distinct().collect()))
+    assert many.where("k >= 20").count() == 2

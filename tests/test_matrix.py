@@ -16,6 +16,20 @@ def test_pixels(spark):
     assert diagonal[(2, 2)] == 2 and diagonal[(9, 9)] == 1 and diagonal[(1, 2)] == 2
 
 
+def test_pixels_of_a_large_fragment_in_blocks(spark):
+    rows = [("hot", rf) for rf in range(40)] + [("b", 3), ("b", 39)]
+    df = spark.createDataFrame([(p, "s", "v", rf) for p, rf in rows], "parent_id string, bam string, viewpoint string, restriction_fragment long")
+    for within in (False, True):
+        got = {(r.bin1_id, r.bin2_id): r.n for r in matrix.count_pixels(df, block=7, within=within).collect()}
+        assert got == {(r.bin1_id, r.bin2_id): r.n for r in matrix.count_pixels(df, within=within).collect()}
+        assert len(got) == 40 * 39 // 2 + 40 * within and got[3, 39] == 2
+
+
+def test_a_fragment_of_very_many(spark):
+    df = spark.range(5000).selectExpr("'hot' AS parent_id", "'s' AS bam", "'v' AS viewpoint", "id AS restriction_fragment")
+    assert matrix.count_pixels(df).agg(F.sum("n")).first()[0] == 5000 * 4999 // 2
+
+
 def test_bins_and_rebinning_keep_counts(spark):
     fragments = spark.createDataFrame([(i, "chr1", i * 7, i * 7 + 7) for i in range(20)] + [(20 + i, "chr2", i * 5, i * 5 + 5) for i in range(6)], "bin_id long, chrom string, start_pos long, end_pos long")
     bins = matrix.fixed_bins(matrix.chrom_sizes(fragments), 30)
