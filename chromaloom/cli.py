@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .operators import filters, fragments, intervals, matrix, pileup, preprocess
 from .plans import pipeline
-from .session import build_session
+from .session import build_session, clean_scratch
 from .sources import readers, writers
 
 COMMANDS: dict[tuple[str, str], tuple[Callable, list]] = {}
@@ -250,6 +250,7 @@ def run_pipeline(spark, a):
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="chromaloom")
+    top.add_argument("--shared-dir", help="a folder that all executors share, for tables in between")
     groups = top.add_subparsers(dest="group", required=True)
     known: dict[str, argparse._SubParsersAction] = {}
     for (group, name), (f, arguments) in COMMANDS.items():
@@ -263,7 +264,13 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     a = parser().parse_args(argv)
-    COMMANDS[a.group, a.command][0](spark or build_session(), a)
+    run = COMMANDS[a.group, a.command][0]
+    if spark is not None:
+        return run(spark, a)
+    try:
+        run(build_session(**({"spark.checkpoint.dir": a.shared_dir} if a.shared_dir else {})), a)
+    finally:
+        clean_scratch()
 
 
 if __name__ == "__main__":

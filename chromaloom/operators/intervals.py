@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settled
+
 BUCKET = 4096
 
 
@@ -102,9 +104,16 @@ def _summaries(a: DataFrame, key: str, specs: Sequence[Mapping], width: int) ->
 def annotate_many(a: DataFrame, key: str, specs: Sequence[Mapping], width: int = BUCKET) -> DataFrame:
     """Several annotations: each a mapping of action (get, best or count), b, name and fraction.
 
-    Those that give a row for each row of a are made in one pass; each get may give several rows.
+    Those that give a row for each row of a are made in one pass; each get may give several rows. Where
+    there are several passes, a is written to the shared folder before, so that it is made once.
     """
     single = [s for s in specs if s["action"] != "get"]
+    passes = len(specs) - len(single) + bool(single)
+    a = settled(a, "to-annotate") if passes > 1 else a
+    read = [id(s["b"]) for s in specs for _ in range(2 if s["action"] == "count" else 1)]
+    made = {i: settled(s["b"], "annotation") for i, s in {id(s["b"]): s for s in specs}.items() if read.count(i) > 1}
+    specs = [{**s, "b": made.get(id(s["b"]), s["b"])} for s in specs]
+    single = [s for s in specs if s["action"] != "get"]
     out = a
     for spec in specs:
         if spec["action"] == "get":
@@ -180,11 +189,11 @@ def merge_intervals(df: DataFrame, slack: int = 0) -> DataFrame:
     Intervals that start on one stretch of a chromosome are merged first, so that a whole chromosome
     only meets what is left of them.
     """
-    some = df.where("end_pos > start_pos AND chrom IS NOT NULL").select("chrom", "start_pos", "end_pos").distinct()
+    some = df.where("end_pos > start_pos AND chrom IS NOT NULL").select("chrom", "start_pos", "end_pos")
     whole = [F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")]
     stretches = some.withColumn("stretch", F.floor(F.col("start_pos") / STRETCH))
     local = _local_clusters(stretches, slack, ("chrom", "stretch")).groupBy("chrom", "stretch", "cluster").agg(*whole)
-    return cluster_intervals(local.select("chrom", "start_pos", "end_pos"), slack).groupBy("chrom", "cluster").agg(*whole).drop("cluster")
+    return _local_clusters(local.select("chrom", "start_pos", "end_pos"), slack, ("chrom",)).groupBy("chrom", "cluster").agg(*whole).drop("cluster")
 
 
 def slop(df: DataFrame, by: int, sizes: DataFrame | None = None) -> DataFrame:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,16 +25,39 @@ def build_session(app: str = "chromaloom", master: str | None = None, **conf: st
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    return builder.config(map=defaults | conf).getOrCreate()
+    spark = builder.config(map=defaults | conf).getOrCreate()
+    if not is_local(spark):
+        ship(spark)
+    return spark
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process."""
+    return spark.conf.get("spark.master", "").split("[")[0] == "local"
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, where it isn't installed."""
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="chromaloom-")
+    path = Path(folder, f"{root.name}.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(path))
+    shutil.rmtree(folder)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests in local mode) a temporary folder is made and set.
+    Only where that setting is absent in local mode (tests) a temporary folder is made and set. On a
+    cluster it must be set, as executors couldn't read each other's local folders.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    if where is None and context.getCheckpointDir() is None and not is_local(spark):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(where or tempfile.mkdtemp(prefix="chromaloom-"))
     if where is None:
@@ -43,12 +69,14 @@ _scratch: list[tuple[object, object]] = []
 
 
 @atexit.register
-def _clean() -> None:
-    for place, hadoop in _scratch:
+def clean_scratch() -> None:
+    """Deletes what scratch_path has named so far: for a session's end, or after a query's result is written."""
+    while _scratch:
+        place, hadoop = _scratch.pop()
         try:
             place.getFileSystem(hadoop).delete(place, True)
-        except Exception:  # the JVM may be gone
-            return
+        except Exception:  # the JVM may be gone, or a folder not ours any more: go on with the rest
+            continue
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
