@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .filters import captures, reporter_count, reporters
+from .stats import percentage
 
 
 def _joined(column: str, order: list[str]) -> Column:
@@ -44,6 +45,15 @@ def slice_stats(df: DataFrame) -> DataFrame:
     )
 
 
+def slice_stats_tiled(df: DataFrame) -> DataFrame:
+    """As slice_stats, with what a tiled assay keeps; blacklisted counts intervals, not slices."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return df.agg(
+        F.countDistinct("slice_name").alias("unique_slices"), F.countDistinct("parent_id").alias("unique_fragments"), total("mapped"),
+        total("multimapped"), F.count_if(F.col("capture_count") > 0).alias("captured"), total("blacklist"),
+    )
+
+
 def fragment_stats(per_fragment: DataFrame) -> DataFrame:
     """One row of totals over all fragments."""
     over = lambda c, n: F.count_if(F.col(c) > n)
@@ -90,6 +100,17 @@ def cis_or_trans_tiled(df: DataFrame) -> DataFrame:
     return both.groupBy(F.col("capture").alias("viewpoint"), cis.alias("cis_or_trans")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def cis_or_trans_tiled_by_read_type(df: DataFrame) -> DataFrame:
+    """viewpoint, read_type, cis_or_trans, n over all slices with a viewpoint (matrix.with_viewpoint): cis is
+    the chromosome that most of the viewpoint's captured slices are on."""
+    home = captures(df).groupBy("viewpoint", "chrom").agg(F.count(F.lit(1)).alias("n"))
+    home = home.groupBy("viewpoint").agg(F.max_by("chrom", F.struct("n", "chrom")).alias("home"))
+    cis = F.when(F.col("chrom") == F.col("home"), "cis").otherwise("trans")
+    # the slices are added up before they meet the viewpoints' chromosomes
+    each = df.where("viewpoint IS NOT NULL").groupBy("viewpoint", F.col("pe").alias("read_type"), "chrom").agg(F.count(F.lit(1)).alias("n"))
+    return each.join(home, "viewpoint", "left").groupBy("viewpoint", "read_type", cis.alias("cis_or_trans")).agg(F.sum("n").alias("n"))
+
+
 def duplicate_signatures(df: DataFrame, unmerged: bool) -> DataFrame:
     """parent_id -> what makes fragments duplicates of each other.
 
@@ -129,11 +150,6 @@ def deduplication_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     return n
 
 
-def percentage(part: str, whole: str) -> Column:
-    """NULL of nothing."""
-    return F.round(F.try_divide(F.col(part) * 100.0, F.col(whole).cast("double")), 4)
-
-
 def by_alignment_score(df: DataFrame, score: Column, prefer: list[str] = (), favour_cis: bool = False) -> DataFrame:
     """One alignment for each slice name: of the best score, then on a preferred chromosome.
 

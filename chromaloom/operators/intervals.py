@@ -238,4 +238,4 @@ def union_segments(df: DataFrame, values: Sequence[str], by: Sequence[str] = ())
 def union_table(df: DataFrame, sample: str, value: str, samples: Sequence[str]) -> DataFrame:
     """The segments with a column for each sample, 0 where it has nothing."""
     wide = union_segments(df, [sample, value]).groupBy("chrom", "start_pos", "end_pos").pivot(sample, list(samples)).agg(F.sum(value))
-    return wide.na.fill(0, list(samples))
+    return wide.select("chrom", "start_pos", "end_pos", *[F.coalesce(F.col(f"`{s}`"), F.lit(0)).alias(s) for s in samples])

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -40,8 +41,9 @@ def count_pixels(
         df = df.where("capture_count = 0")
     if remove_exclusions:
         df = df.where("NOT (exclusion <=> viewpoint) OR exclusion IS NULL")
-    if subsample is not None:
-        df = df.where(F.pmod(F.xxhash64("parent_id", F.lit(seed)), F.lit(1_000_000)) < int(subsample * 1_000_000))
+    if subsample is not None:  # 28 bits of a hash that other engines have too
+        drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("parent_id").cast("string"))), 1, 7), 16, 10).cast("long")
+        df = df.where(drawn < int(subsample * (1 << 28)))
     rows = df.where("restriction_fragment IS NOT NULL AND viewpoint IS NOT NULL")
     held = rows.groupBy("parent_id", F.col(sample).alias("sample"), "viewpoint").agg(F.sort_array(F.collect_set("restriction_fragment")).alias("rf"))
     ahead = (lambda x, i: F.slice("rf", i + 1, F.size("rf"))) if within else (lambda x, i: F.slice("rf", i + 2, F.size("rf")))
@@ -138,6 +140,36 @@ def rebin(pixels: DataFrame, mapping: DataFrame) -> DataFrame:
     return pixels.select("sample", "viewpoint", low, high, "n").groupBy(*PIXEL).agg(F.sum("n").alias("n"))
 
 
+def bins_of_widths(fragments: DataFrame, widths: Sequence[int]) -> DataFrame:
+    """resolution, bin_id, chrom, start_pos, end_pos of several widths, each numbered from 0."""
+    sizes = chrom_sizes(fragments)
+    return reduce(DataFrame.unionByName, [fixed_bins(sizes, w).select(F.lit(str(w)).alias("resolution"), "bin_id", "chrom", "start_pos", "end_pos") for w in widths])
+
+
+def rebin_widths(pixels: DataFrame, fragments: DataFrame, widths: Sequence[int]) -> DataFrame:
+    """Fragment pixels at several widths in one job, with ``resolution``: pixels meet each side's map once."""
+    sizes = chrom_sizes(fragments)
+    maps = [bins_by_midpoint(fragments, fixed_bins(sizes, w), w).select(F.lit(str(w)).alias("resolution"), "fragment_id", "bin_id") for w in widths]
+    to = reduce(DataFrame.unionByName, maps)
+    one = to.select("resolution", F.col("fragment_id").alias("bin1_id"), F.col("bin_id").alias("to1"))
+    two = to.select("resolution", F.col("fragment_id").alias("bin2_id"), F.col("bin_id").alias("to2"))
+    both = pixels.join(one, "bin1_id").join(two, ["resolution", "bin2_id"])
+    low, high = F.least("to1", "to2").alias("bin1_id"), F.greatest("to1", "to2").alias("bin2_id")
+    return both.select("resolution", "sample", "viewpoint", low, high, "n").groupBy("resolution", *PIXEL).agg(F.sum("n").alias("n"))
+
+
+def write_bins(bins: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The bins of a store, once for each resolution; groups of a resolution share them."""
+    bins.write.mode(mode).partitionBy("resolution").parquet(f"{path.rstrip('/')}-bins")
+
+
+def read_bins(spark, store: str) -> DataFrame:
+    """The bins of a store or of one of its groups."""
+    path, _, group = store.partition("::")
+    df = spark.read.parquet(f"{path.rstrip('/')}-bins").withColumn("resolution", F.col("resolution").cast("string"))
+    return df.where(F.col("resolution") == group.rsplit("/", 1)[1]) if "/resolutions/" in group else df
+
+
 def normalise(pixels: DataFrame, mapping: DataFrame, totals: DataFrame, scale: float = 1e6) -> DataFrame:
     """Counts over the fragments of both bins, over cis interactions, and over both."""
     per = mapping.groupBy("bin_id").agg(F.countDistinct("fragment_id").alias("k"))
@@ -149,9 +181,10 @@ def normalise(pixels: DataFrame, mapping: DataFrame, totals: DataFrame, scale: f
     return wide.select(*PIXEL, "n", by_rf.alias("n_rf_norm"), (F.col("n") * by_cis).alias("n_cis_norm"), (by_rf * by_cis).alias("n_cis_rf_norm"))
 
 
-def write_store(pixels: DataFrame, path: str, resolution: int | str = "fragments", mode: str = "append") -> None:
-    """Adds pixels to a store."""
-    pixels.withColumn("resolution", F.lit(str(resolution))).write.mode(mode).partitionBy("resolution", "viewpoint").parquet(path)
+def write_store(pixels: DataFrame, path: str, resolution: int | str | None = "fragments", mode: str = "append") -> None:
+    """Adds pixels to a store; with resolution None by their own ``resolution``."""
+    held = pixels if resolution is None else pixels.withColumn("resolution", F.lit(str(resolution)))
+    held.write.mode(mode).partitionBy("resolution", "viewpoint").parquet(path)
 
 
 def store_uri(store: str, viewpoint: str | None = None, resolution: int | str | None = None) -> str:
@@ -175,19 +208,27 @@ def read_store(spark, uri: str) -> DataFrame:
     return df
 
 
-def dense_region(pixels: DataFrame, bins: DataFrame, most: int = 4_000_000) -> DataFrame:
-    """row, col, n for all pairs of a region's bins, zeros too, both triangles; for bounded regions.
+def dense_region(pixels: DataFrame, bins: DataFrame, own: DataFrame | None = None) -> DataFrame:
+    """bin1_id, bin2_id, n for all pairs of a region's bins (bin_id), zeros too, both triangles.
 
-    ``bins``: the region's bin_id, at most the square root of ``most`` of them.
+    Where ``own`` bins (bin_id) are given, a viewpoint's, their rows and columns are 0. Rows are made where they
+    are needed, from the region's first and last bin; regions may be of any size.
     """
-    ids = [r[0] for r in bins.select("bin_id").orderBy("bin_id").limit(int(most**0.5) + 1).collect()]
-    if len(ids) ** 2 > most:
-        raise ValueError(f"the region has more than {int(most**0.5)} bins")
     spark = pixels.sparkSession
-    grid = spark.createDataFrame([(i,) for i in ids], "bin1_id long").select("bin1_id", F.explode(F.lit(ids).cast("array<bigint>")).alias("bin2_id"))
-    mirrored = pixels.select("bin1_id", "bin2_id", "n").unionByName(
-        pixels.where("bin1_id <> bin2_id").select(F.col("bin2_id").alias("bin1_id"), F.col("bin1_id").alias("bin2_id"), "n")
-    )
+    first, last = bins.agg(F.min("bin_id"), F.max("bin_id")).first()
+    if first is None:
+        return pixels.select("bin1_id", "bin2_id", "n").limit(0)
+    region = bins.select("bin_id").distinct()
+    n = last - first + 1
+    rows = spark.range(first, last + 1, 1, max(1, min(n, n * n >> 20))).join(region, F.col("id") == F.col("bin_id"), "left_semi")
+    grid = rows.select(F.col("id").alias("bin1_id"), F.explode(F.sequence(F.lit(first), F.lit(last))).alias("bin2_id"))
+    grid = grid.join(region, F.col("bin2_id") == F.col("bin_id"), "left_semi")
+    inside = (F.col("bin1_id").between(first, last)) & (F.col("bin2_id").between(first, last))
+    px = pixels.where(inside).select("bin1_id", "bin2_id", "n")
+    if own is not None:
+        for side in ("1", "2"):
+            px = px.join(own.select(F.col("bin_id").alias(f"bin{side}_id")), f"bin{side}_id", "left_anti")
+    mirrored = px.select("bin1_id", "bin2_id", "n").unionByName(px.where("bin1_id <> bin2_id").select(F.col("bin2_id").alias("bin1_id"), F.col("bin1_id").alias("bin2_id"), "n"))
     summed = mirrored.groupBy("bin1_id", "bin2_id").agg(F.sum("n").alias("n"))
     return grid.join(summed, ["bin1_id", "bin2_id"], "left").select("bin1_id", "bin2_id", F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -246,3 +287,21 @@ def balance(pixels: DataFrame, iterations: int = 200, by: Sequence[str] = ("samp
 
     schema = StructType([*pixels.schema.fields, StructField("balanced", DoubleType()), StructField("deviation", DoubleType())])
     return pixels.groupBy(*by).applyInPandas(run, schema)
+
+
+def balance_per_cis(pixels: DataFrame, totals: DataFrame, scale: float = 1e6, **options: object) -> DataFrame:
+    """``balance``, for each ``scale`` cis interactions of the matrix (totals: sample, viewpoint, n_cis); NULL without any."""
+    wide = balance(pixels, **options).join(totals.select("sample", "viewpoint", "n_cis"), ["sample", "viewpoint"], "left")
+    return wide.withColumn("balanced", F.try_divide(F.col("balanced"), F.col("n_cis").cast("double")) * scale).drop("n_cis")
+
+
+def balance_by_factor(pixels: DataFrame, factor: float, **options: object) -> DataFrame:
+    """``balance``, divided by a scaling factor."""
+    return balance(pixels, **options).withColumn("balanced", F.col("balanced") / F.lit(float(factor)))
+
+
+def without_viewpoint(pixels: DataFrame, own: DataFrame) -> DataFrame:
+    """Pixels without a bin of their viewpoint's own (viewpoint, bin_id)."""
+    for side in ("1", "2"):
+        pixels = pixels.join(own.select("viewpoint", F.col("bin_id").alias(f"bin{side}_id")).distinct(), ["viewpoint", f"bin{side}_id"], "left_anti")
+    return pixels

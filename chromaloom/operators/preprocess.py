@@ -57,6 +57,12 @@ def numbered(fragments: DataFrame) -> DataFrame:
     return local.withColumn("name", F.col("__offset__") + F.col("__i__")).drop("__offset__", "__i__", "__stretch__")
 
 
+def read_pieces(reads: DataFrame, enzyme: str) -> DataFrame:
+    """name, read, uid, length of every piece of reads (name, read, sequence), short ones and whole reads too."""
+    pieces = reads.where("sequence IS NOT NULL").select("name", "read", F.posexplode(_pieces(F.col("sequence"), recognition_site(enzyme))).alias("uid", "p"))
+    return pieces.select("name", "read", "uid", F.length("p.piece").alias("length"))
+
+
 def digest_reads(reads: DataFrame, enzyme: str, read_type: str = "flashed", minimum: int = 18) -> DataFrame:
     """slice_name, sequence, quality: the slices of reads (name, read, sequence, quality).
 

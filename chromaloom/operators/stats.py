@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import genomic
+
 
 def percentage(part: str, whole: str) -> Column:
-    """NULL of nothing."""
-    return F.round(F.try_divide(F.col(part) * 100.0, F.col(whole).cast("double")), 4)
+    """To four places; NULL of nothing."""
+    return F.round(genomic.percentage(F.col(part), F.col(whole)), 4)
 
 
 def added(parts: DataFrame, by: Sequence[str], counts: Sequence[str]) -> DataFrame:
@@ -60,6 +62,17 @@ def digestion(slices: DataFrame, kept: DataFrame, reads: Sequence[str] = ("1", "
     return both.groupBy("when").pivot("read", list(reads)).agg(F.first("reads").alias("reads"), F.first("slices").alias("slices")).na.fill(0)
 
 
+def digestion_histograms(pieces: DataFrame, minimum: int) -> DataFrame:
+    """kind, read, value, n: slices in a read before and after short ones are left out, and lengths of those kept.
+
+    ``pieces``: name, read, length.
+    """
+    kept = pieces.where(F.col("length") >= minimum)
+    size = lambda d, kind: histogram(d.groupBy("name", "read").agg(F.count(F.lit(1)).alias("k")), F.col("k"), ["read"]).select(F.lit(kind).alias("kind"), "read", "value", "n")
+    lengths = histogram(kept, F.col("length").cast("long"), ["read"]).select(F.lit("lengths").alias("kind"), "read", "value", "n")
+    return size(pieces, "unfiltered").unionByName(size(kept, "filtered")).unionByName(lengths)
+
+
 def alignment_duplicates(parts: DataFrame) -> DataFrame:
     """sample, total and unique reads and slices -> with duplicates and percentages."""
     n = added(parts, ["sample"], ["total_reads", "unique_reads", "total_slices", "unique_slices"])

@@ -81,7 +81,11 @@ def count_pixels_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.count_pixels(contacts(spark, sf_dir), within=True)
 
 
-@R.query()
+@R.query(
+    f"""WITH {SQL_W}, d AS (SELECT DISTINCT parent_id, bam AS sample, viewpoint, rf FROM w WHERE CAST('0x' || substr(md5('7|' || parent_id), 1, 7) AS BIGINT) < {1 << 27})
+    SELECT x.sample, x.viewpoint, x.rf AS bin1_id, y.rf AS bin2_id, count(*) AS n FROM d x
+    JOIN d y ON y.parent_id = x.parent_id AND y.sample = x.sample AND y.viewpoint = x.viewpoint AND x.rf < y.rf GROUP BY ALL"""
+)
 def count_pixels_subsample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the reads, chosen by a hash: the sampling operator itself."""
     return matrix.count_pixels(contacts(spark, sf_dir), subsample=0.5, seed=7)
@@ -228,6 +232,56 @@ def matrix_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix_dense_region(spark, sf_dir).where("bin1_id < bin2_id").agg(F.round(F.percentile("n", F.lit(0.98)), 6).alias("p98"))
 
 
+def _sql_rounds(rounds: int) -> str:
+    """Rounds of balancing of rb, without a test of how far it came: v0, v1, ..."""
+    steps = ["v0 AS (SELECT sample, viewpoint, bin1_id AS i, bin2_id AS j, n::DOUBLE AS v FROM rb)"]
+    for k in range(rounds + 1):
+        steps.append(f"be{k} AS (SELECT sample, viewpoint, i AS b, v FROM v{k} UNION ALL SELECT sample, viewpoint, j, v FROM v{k} WHERE i <> j)")
+        steps.append(f"bs{k} AS (SELECT sample, viewpoint, b, sum(v) AS s FROM be{k} GROUP BY ALL)")
+        steps.append(f"bm{k} AS (SELECT sample, viewpoint, avg(s) AS m, max(abs(s / mean - 1)) AS deviation FROM (SELECT *, avg(s) OVER (PARTITION BY sample, viewpoint) AS mean FROM bs{k}) GROUP BY ALL)")
+        root = "" if k == rounds else " / (sqrt(x.s / m.m) * sqrt(y.s / m.m))"
+        steps.append(
+            f"""v{k + 1} AS MATERIALIZED (SELECT v.sample, v.viewpoint, i, j, v * (f.m / m.m){root} AS v FROM v{k} v JOIN bm{k} m ON m.sample = v.sample AND m.viewpoint = v.viewpoint
+            JOIN bm0 f ON f.sample = v.sample AND f.viewpoint = v.viewpoint JOIN bs{k} x ON x.sample = v.sample AND x.viewpoint = v.viewpoint AND x.b = i
+            JOIN bs{k} y ON y.sample = v.sample AND y.viewpoint = v.viewpoint AND y.b = j)"""
+        )
+    return ",\n".join(steps)
+
+
+@R.query(f"WITH {SQL_RB}, {_sql_rounds(4)} SELECT v.sample, v.viewpoint, i AS bin1_id, j AS bin2_id, round(v, 4) AS balanced, round(bm4.deviation, 4) AS deviation FROM v5 v JOIN bm4 ON bm4.sample = v.sample AND bm4.viewpoint = v.viewpoint")
+def ice_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four rounds of balancing, whatever they reach: what ice_balance repeats until bins' sums are equal."""
+    binned = matrix.rebin(pixels(spark, sf_dir), mapping(spark, sf_dir))
+    return matrix.balance(binned, 4, tolerance=0.0).select("sample", "viewpoint", "bin1_id", "bin2_id", F.round("balanced", 4).alias("balanced"), F.round("deviation", 4).alias("deviation"))
+
+
+@R.query(
+    f"""WITH {SQL_RB}, {_sql_rounds(4)} SELECT v.sample, v.viewpoint, i AS bin1_id, j AS bin2_id, round(CASE WHEN n_cis > 0 THEN v / n_cis * 1e6 END, 3) AS balanced
+    FROM v5 v JOIN totals t ON t.sample = v.sample AND t.viewpoint = v.viewpoint"""
+)
+def ice_rounds_n_cis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for each million cis interactions."""
+    px = settled(pixels(spark, sf_dir), "pixels")
+    totals = matrix.interaction_totals(px, viewpoints(spark, sf_dir), bins(spark, sf_dir))
+    out = matrix.balance_per_cis(matrix.rebin(px, mapping(spark, sf_dir)), totals, iterations=4, tolerance=0.0)
+    return out.select("sample", "viewpoint", "bin1_id", "bin2_id", F.round("balanced", 3).alias("balanced"))
+
+
+@R.query(f"WITH {SQL_RB}, {_sql_rounds(4)} SELECT v.sample, v.viewpoint, i AS bin1_id, j AS bin2_id, round(v / 2.5, 4) AS balanced FROM v5 v")
+def ice_rounds_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same divided by a factor."""
+    out = matrix.balance_by_factor(matrix.rebin(pixels(spark, sf_dir), mapping(spark, sf_dir)), 2.5, iterations=4, tolerance=0.0)
+    return out.select("sample", "viewpoint", "bin1_id", "bin2_id", F.round("balanced", 4).alias("balanced"))
+
+
+@R.query(
+    f"""WITH {SQL_PX} SELECT sample, px.viewpoint, bin1_id, bin2_id, n FROM px
+    WHERE NOT EXISTS (SELECT 1 FROM own WHERE own.viewpoint = px.viewpoint AND own.bin_id IN (px.bin1_id, px.bin2_id))"""
+)
+def pixels_without_viewpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix.without_viewpoint(pixels(spark, sf_dir), own_bins(spark, sf_dir)).select("sample", "viewpoint", "bin1_id", "bin2_id", "n")
+
+
 @R.query()
 def ice_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balanced matrices of every sample and viewpoint at 10 kb."""
@@ -353,6 +407,18 @@ def bedgraph_arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pileup.arithmetic(pileup.arithmetic(t, 2, "*"), t, "+")
 
 
+@R.query(
+    f"""WITH {SQL_BG}, two AS (SELECT sample, viewpoint, chrom, s, e, n::DOUBLE AS a, CASE WHEN s % 2 = 0 THEN n + 1.0 ELSE 0.0 END AS b FROM bg)
+    SELECT sample, viewpoint, chrom, s AS start_pos, e AS end_pos, unnest(['+', '-', '*', '/']) AS operation, round(unnest([a + b, a - b, a * b, CASE WHEN b <> 0 THEN a / b END]), 6) AS n FROM two"""
+)
+def bedgraph_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every operation with a profile that lacks some places."""
+    t = settled(track(spark, sf_dir), "track")
+    other = t.where("start_pos % 2 = 0").withColumn("n", F.col("n") + 1)
+    each = [pileup.arithmetic(t, other, o).withColumn("operation", F.lit(o)) for o in "+-*/"]
+    return reduce(DataFrame.unionByName, each).withColumn("n", F.round("n", 6))
+
+
 # Comparisons between conditions
 
 SQL_DESIGN = f"""design AS (SELECT bam AS sample, coalesce(min(CASE WHEN NOT {sql_missing("condition_label")} THEN {sql_plain("condition_label")} END), 'none') AS condition FROM design_matrix GROUP BY bam),
@@ -381,6 +447,20 @@ def summarise_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pileup.summarise(track(spark, sf_dir), design(spark, sf_dir), "median")
 
 
+@R.query(
+    f"""WITH {SQL_BG}, {SQL_DESIGN}, g AS (SELECT DISTINCT viewpoint, chrom, s, e, d.condition FROM bg JOIN design d ON d.sample = bg.sample),
+    x AS (SELECT g.viewpoint, g.chrom, g.s, g.e, g.condition, coalesce(n, 0)::DOUBLE AS n FROM g JOIN design d ON d.condition = g.condition
+        LEFT JOIN bg ON bg.sample = d.sample AND bg.viewpoint = g.viewpoint AND bg.chrom = g.chrom AND bg.s = g.s AND bg.e = g.e),
+    y AS (SELECT viewpoint, chrom, s, e, condition, [sum(n), min(n), max(n), stddev_pop(n)] AS v FROM x GROUP BY 1, 2, 3, 4, 5)
+    SELECT viewpoint, chrom, s AS start_pos, e AS end_pos, condition, unnest(['sum', 'min', 'max', 'std']) AS how, round(unnest(v), 6) AS value FROM y"""
+)
+def summarise_others(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum, least, greatest and standard deviation over a condition's samples, zeros included."""
+    t, d = settled(track(spark, sf_dir), "track"), design(spark, sf_dir)
+    each = [pileup.summarise(t, d, how).withColumn("how", F.lit(how)) for how in ("sum", "min", "max", "std")]
+    return reduce(DataFrame.unionByName, each).withColumn("value", F.round("value", 6))
+
+
 @R.query(
     f"""WITH {SQL_MEANS}, c AS (SELECT DISTINCT condition FROM means), p AS (SELECT x.condition AS a, y.condition AS b FROM c x, c y WHERE x.condition <> y.condition),
     g AS (SELECT DISTINCT viewpoint, chrom, s, e, a, b FROM means m JOIN p ON m.condition IN (a, b))

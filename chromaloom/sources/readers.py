@@ -129,6 +129,25 @@ def read_gtf(spark: SparkSession, path: str, feature: str = "exon", attribute: s
     return rows.select("chrom", (F.col("first") - 1).alias("start_pos"), F.col("last").alias("end_pos"), gene.alias("gene"), "strand").where("gene <> ''")
 
 
+def _report(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    return spark.read.options(sep="\t", header="true", inferSchema="true").csv(path)
+
+
+def read_trimming(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """A trimmer's report (Sample, r_processed, r_written, r_with_adapters) of file parts ``sample_part0_1``."""
+    rows = _report(spark, path)
+    name = F.regexp_extract("Sample", r"^(.+)_part\d+_(\d+)$", 1)
+    return rows.select(
+        name.alias("sample"), F.regexp_extract("Sample", r"_(\d+)$", 1).try_cast("int").alias("read_number"),
+        F.col("r_processed").cast("long").alias("reads_input"), F.col("r_written").cast("long").alias("reads_output"), F.col("r_with_adapters").cast("long").alias("reads_with_adapter"),
+    )
+
+
+def read_merging(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """A read merger's report (Sample, combopairs, uncombopairs) of file parts ``sample_part0``."""
+    return _report(spark, path).select(F.col("Sample").alias("sample"), F.col("combopairs").cast("long").alias("combined"), F.col("uncombopairs").cast("long").alias("uncombined"))
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """parent_id from Parquet, JSON lines or text, by the file's ending."""
     kind = file_type(path)

@@ -28,6 +28,12 @@ def write_bed(df: DataFrame, path: str, mode: str = "error") -> None:
     write_tsv(df.select("chrom", "start_pos", "end_pos", "name").orderBy("chrom", "start_pos", "end_pos"), path, header=False, mode=mode)
 
 
+def write_fasta(sequences: DataFrame, path: str, width: int = 60, mode: str = "error") -> None:
+    """chrom, sequence as FASTA records with lines of ``width`` bases."""
+    lines = F.array_join(F.regexp_extract_all("sequence", F.lit(f".{{1,{width}}}"), F.lit(0)), "\n")
+    sequences.select(F.concat(F.lit(">"), F.col("chrom"), F.lit("\n"), lines).alias("value")).write.mode(mode).text(path)
+
+
 def fastq_text(reads: DataFrame) -> DataFrame:
     """value: each read as the four lines of a FASTQ record."""
     return reads.select(F.concat_ws("\n", F.concat(F.lit("@"), F.col("name")), "sequence", F.lit("+"), "quality").alias("value"))
