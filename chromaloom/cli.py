@@ -43,6 +43,8 @@ def load(spark: SparkSession, path: str) -> DataFrame:
         return readers.read_fasta(spark, path)
     if kind == "sam":
         return readers.read_sam(spark, path)
+    if kind == "bam":
+        return readers.read_bam(spark, path)
     if kind == "bed":
         return readers.read_bed(spark, path)
     if kind in ("tsv", "csv", "txt"):

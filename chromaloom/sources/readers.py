@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.genomic import flag_set
 from ..operators.preprocess import parse_read_name
+from .sequencing import SPLIT, BamSource, FastqSource
 
 BED = "chrom string, start_pos long, end_pos long, name string"
 
@@ -66,15 +68,16 @@ def read_tables(spark: SparkSession, paths: Sequence[str], sep: str = "\t") -> D
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_fastq(spark: SparkSession, path: str | Sequence[str], read: int = 1) -> DataFrame:
-    """name, read, sequence, quality, file. Files are read whole, so lines of one stay in order: files of
-    a sequencer's parts, some hundred MB at most."""
-    texts = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
-    lines = texts.select("file", F.split(F.rtrim("value"), r"\r?\n").alias("l"))
-    records = lines.select("file", F.explode(F.sequence(F.lit(0), F.floor(F.size("l") / 4).cast("int") - 1)).alias("i"), "l").where("i >= 0")
-    at = lambda k: F.get("l", F.col("i") * 4 + k)
-    name = F.split_part(F.substring_index(F.substring(at(0), 2, 1 << 20), "/", 1), F.lit(" "), F.lit(1))
-    return records.select(name.alias("name"), F.lit(read).alias("read"), at(1).alias("sequence"), at(3).alias("quality"), "file")
+def _by_source(spark: SparkSession, source: type, path: str | Sequence[str], split: int) -> DataFrame:
+    spark.dataSource.register(source)
+    paths = [path] if isinstance(path, str) else list(path)
+    return spark.read.format(source.name()).option("paths", json.dumps(paths)).option("split", str(split)).load()
+
+
+def read_fastq(spark: SparkSession, path: str | Sequence[str], read: int = 1, split: int = SPLIT) -> DataFrame:
+    """name, read, sequence, quality, file. Files are read in ranges of ``split`` bytes, compressed ones whole."""
+    rows = _by_source(spark, FastqSource, path, split)
+    return rows.select("name", F.lit(read).alias("read"), "sequence", "quality", "file")
 
 
 def read_pairs(spark: SparkSession, first: str | Sequence[str], second: str | Sequence[str]) -> DataFrame:
@@ -92,16 +95,26 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sam(spark: SparkSession, path: str | Sequence[str], file_name: str | None = None) -> DataFrame:
-    """Alignments in text form, unmapped ones too, as slices: names split, places 0-based and half-open.
-
-    Unmapped: no place and no text for it. Secondary alignments are multimapped.
-    """
+    """Alignments in text form, unmapped ones too, as slices: names split, places 0-based and half-open."""
     lines = spark.read.text(path).withColumn("file", F.input_file_name()).where("value NOT LIKE '@%' AND value <> ''")
     f = F.split("value", "\t")
     raw = lines.select(
         F.get(f, F.lit(0)).alias("slice_name"), F.get(f, F.lit(1)).cast("int").alias("flag"), F.get(f, F.lit(2)).alias("rname"),
         F.get(f, F.lit(3)).cast("long").alias("pos"), F.get(f, F.lit(5)).alias("cigar"), F.substring_index("file", "/", -1).alias("file"),
     )
+    return alignments_as_slices(raw, file_name)
+
+
+def read_bam(spark: SparkSession, path: str | Sequence[str], file_name: str | None = None, split: int = SPLIT) -> DataFrame:
+    """As read_sam, of compressed binary alignments, in ranges of ``split`` bytes."""
+    return alignments_as_slices(_by_source(spark, BamSource, path, split), file_name)
+
+
+def alignments_as_slices(raw: DataFrame, file_name: str | None = None) -> DataFrame:
+    """Alignments (slice_name, flag, rname, pos, cigar, file) as slices.
+
+    Unmapped: no place and no text for it. Secondary alignments are multimapped.
+    """
     steps = F.regexp_extract_all("cigar", F.lit(r"(\d+)[MDN=X]"), F.lit(1))
     length = F.aggregate(steps, F.lit(0).cast("long"), lambda s, x: s + x.cast("long"))
     mapped = ~flag_set(F.col("flag"), 0x4)
