@@ -138,6 +138,9 @@ def interactions_bins(spark, a):
     from .session import settled
 
     pixels = settled(pixels, "pixels")  # the store is added to below
+    if not a.normalise and a.method == "midpoint":
+        matrix.write_store(matrix.rebin_widths(pixels, bins, a.binsize), a.store, None)
+        return
     for width in a.binsize:
         grid = matrix.fixed_bins(matrix.chrom_sizes(fragment_map), width)
         to = matrix.bins_by_midpoint(bins, grid, width) if a.method == "midpoint" else matrix.bins_by_overlap(bins, grid)
@@ -185,12 +188,14 @@ def compare_summarise(spark, a):
         writers.write_parquet(pileup.subtractions(out.withColumnRenamed("value", "mean")), f"{a.output}-subtraction")
 
 
-@command("interactions", "differential", arg("profiles"), OUT, arg("-d", "--design", required=True), arg("--a", required=True), arg("--b", required=True), arg("--threshold", type=int, default=20))
+@command("interactions", "differential", arg("profiles"), OUT, arg("-d", "--design", required=True), arg("--a"), arg("--b"), arg("--threshold", type=int, default=20), arg("--q", type=float, default=0.05))
 def differential(spark, a):
+    """Every pair of conditions, or b against a."""
     design, track = readers.read_design(spark, a.design), load(spark, a.profiles)
-    two = design.where(F.col("condition").isin(a.a, a.b))
-    counts = pileup.counts_over(track.join(two.select("sample"), "sample"), two.count(), a.threshold)
-    writers.write_tsv(pileup.differential(counts, design, a.a, a.b).orderBy(F.desc(F.abs("log2_fold_change")), "p_adjusted"), a.output)
+    if a.a and a.b:
+        design = design.where(F.col("condition").isin(a.a, a.b))
+    found = pileup.differential_pairs(track, design, a.q, a.threshold)
+    writers.write_tsv(found.orderBy("a", "b", F.desc(F.abs("log2_fold_change")), "p_adjusted"), a.output)
 
 
 @command("utilities", "gtf-to-bed12", arg("gtf"), OUT)

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from . import fit
 from .intervals import cluster_intervals, overlaps
 
 PLACE = ["chrom", "start_pos", "end_pos"]
@@ -173,6 +177,13 @@ def size_factors(counts: DataFrame) -> DataFrame:
     return ratio.groupBy("viewpoint", "sample").agg(F.exp(F.percentile("ratio", F.lit(0.5))).alias("factor"))
 
 
+@dataclass(frozen=True)
+class Model:
+    """``least_width``: the standard deviation of log changes that the prior has at least."""
+
+    least_width: float = 1e-3
+
+
 @F.pandas_udf(DoubleType())
 def _two_sided(z: pd.Series) -> pd.Series:
     return z.map(lambda x: None if x is None or math.isnan(x) else math.erfc(abs(x) / math.sqrt(2)))
@@ -186,51 +197,64 @@ def adjusted(p: str, by: Sequence[str]) -> Column:
     return F.col(p) * F.count(p).over(group) / as_small
 
 
-def differential(counts: DataFrame, design: DataFrame, a: str, b: str) -> DataFrame:
-    """Negative binomial Wald test of condition b against a at each place: log2 fold change, p and adjusted p.
+def conditions_side_by_side(counts: DataFrame, design: DataFrame, a: str, b: str) -> DataFrame:
+    """viewpoint, place, n, factor: arrays over all samples of a, then of b, by name; a sample without a count has 0.
 
-    A sample of the design without a count at a place has 0 there. Counts are divided by size factors
-    (1 for a sample without any count of the viewpoint); the dispersion of a place is the mean of its
-    own (by moments) and the viewpoint's median, at least 1e-8. For the change a condition's mean is
-    half a count in all its samples at least, so places that one condition lacks are tested too.
+    Arrays are as long as the two conditions have samples. Size factors are those of the two conditions' samples,
+    1 for a sample without any count of the viewpoint.
     """
-    two = design.where(F.col("condition").isin(a, b))
+    two = design.where(F.col("condition").isin(a, b)).select("sample", (F.col("condition") == b).cast("int").alias("side"))
     own = counts.join(two, "sample")
     factors = size_factors(own.select(counts.columns))
-    every = own.select("viewpoint").distinct().crossJoin(two).join(factors, ["viewpoint", "sample"], "left").na.fill(1.0, ["factor"])
-    when = lambda flag, c: F.when((F.col("condition") == b) == flag, c)
-    sizes = every.groupBy("viewpoint").agg(
-        *[F.count(when(f, F.lit(1))).alias(f"k{s}") for s, f in (("a", False), ("b", True))],
-        *[F.sum(when(f, 1 / F.col("factor"))).alias(f"i{s}") for s, f in (("a", False), ("b", True))],
-    )
-    scaled = own.join(factors, ["viewpoint", "sample"], "left").na.fill(1.0, ["factor"]).withColumn("x", F.col("n") / F.col("factor"))
-    of = lambda f, flag: f(when(flag, F.col("x")))
-    seen = scaled.groupBy("viewpoint", *PLACE).agg(
-        *[F.coalesce(of(f, flag), F.lit(0.0)).alias(f"{n}{s}") for s, flag in (("a", False), ("b", True)) for n, f in (("c", F.count), ("mean", F.avg), ("var", F.var_pop))]
-    )
-    per = seen.join(sizes.where("ka > 0 AND kb > 0"), "viewpoint")
-    for s in ("a", "b"):  # the samples without a count add zeros to the mean and the squares
-        k, c, mean = F.col(f"k{s}"), F.col(f"c{s}"), F.col(f"mean{s}")
-        per = per.withColumn(f"m{s}", mean * c / k)
-        squares = F.col(f"var{s}") * c + c * (mean - F.col(f"m{s}")) ** 2 + (k - c) * F.col(f"m{s}") ** 2
-        per = per.withColumns({f"v{s}": squares / F.greatest(k - 1, F.lit(1)), f"f{s}": F.greatest(F.col(f"m{s}"), 0.5 / k)})
-    per = per.where("ma > 0 OR mb > 0")
-    pooled_mean = (F.col("ma") * F.col("ka") + F.col("mb") * F.col("kb")) / (F.col("ka") + F.col("kb"))
-    freedom = F.greatest(F.col("ka") + F.col("kb") - 2, F.lit(1))
-    pooled_var = (F.col("va") * (F.col("ka") - 1) + F.col("vb") * (F.col("kb") - 1)) / freedom
-    per = per.withColumn("own", F.greatest((pooled_var - pooled_mean) / (pooled_mean * pooled_mean), F.lit(0.0)))
-    usual = per.groupBy("viewpoint").agg(F.percentile("own", F.lit(0.5)).alias("usual"))
-    per = per.join(usual, "viewpoint").withColumn("dispersion", F.greatest((F.col("own") + F.col("usual")) / 2, F.lit(1e-8)))
-    # the variance of a log mean: (1 / mean * mean of 1 / factor + dispersion) / samples
-    variance = lambda s: (F.col(f"i{s}") / F.col(f"k{s}") / F.col(f"f{s}") + F.col("dispersion")) / F.col(f"k{s}")
-    change = F.log(F.col("fb") / F.col("fa"))
-    tested = per.withColumn("log2_fold_change", change / math.log(2)).withColumn("p_value", _two_sided(change / F.sqrt(variance("a") + variance("b"))))
+    held = factors.groupBy("viewpoint").agg(F.map_from_entries(F.collect_list(F.struct("sample", "factor"))).alias("factors"))
+    # a row for the design, an array as long as it
+    order = two.agg(F.sort_array(F.collect_list(F.struct("side", "sample"))).alias("order"))
+    per = own.groupBy("viewpoint", *PLACE).agg(F.map_from_entries(F.collect_list(F.struct("sample", F.col("n").cast("double")))).alias("told"))
+    wide = per.join(held, "viewpoint").join(order)  # one row
+    at = lambda m, d: F.transform("order", lambda o: F.coalesce(F.try_element_at(F.col(m), o["sample"]), F.lit(d)))
+    return wide.select("viewpoint", *PLACE, at("told", 0.0).alias("n"), at("factors", 1.0).alias("factor"), F.col("order.side").alias("side"))
+
+
+def differential(counts: DataFrame, design: DataFrame, a: str, b: str, most: float | None = None, model: Model = Model()) -> DataFrame:
+    """Negative binomial test of condition b against a at each place.
+
+    A sample of the design without a count at a place has 0 there. The dispersion of a place is fitted by
+    likelihood, drawn towards a trend over the viewpoint's means, and kept where it is far above it. The
+    test is Wald's on the log ratio of the fitted means, of which each is half a count in all its samples at
+    least, so that places which one condition lacks are tested too. ``shrunken`` is the log2 fold change drawn
+    to 0 by a normal prior as wide as the viewpoint's changes. P values are adjusted by Benjamini and Hochberg's
+    way; with ``most`` only places up to that adjusted p are left. Without a sample of both conditions: no rows.
+
+    Fits are by place; a task holds of a viewpoint no more than a mean and a dispersion of each place.
+    """
+    wide = conditions_side_by_side(counts, design, a, b).where("exists(side, x -> x = 0) AND exists(side, x -> x = 1) AND exists(n, x -> x > 0)")
+    own = wide.withColumn("f", fit.own_dispersion("n", "factor", "side")).select("*", "f.*").drop("f")
+    trend = own.select("viewpoint", "base_mean", "own").groupBy("viewpoint").applyInPandas(fit.trend, "viewpoint string, asymptote double, slope double, spread double")
+    drawn = own.join(trend, "viewpoint").withColumn("t", fit.tested("n", "factor", "side", "own", "base_mean", "asymptote", "slope", "spread")).select("*", "t.*").drop("t")
+    width = drawn.groupBy("viewpoint").agg((F.percentile(F.abs("change"), F.lit(0.95)) / 1.96).alias("width"))
+    variance = F.greatest(F.col("width"), F.lit(model.least_width)) ** 2
+    wider = drawn.join(width, "viewpoint").withColumn("shrunken", F.col("change") * variance / (variance + F.col("error") ** 2))
+    tested = wider.withColumn("p_value", _two_sided(F.col("change") / F.col("error")))
     ratio = tested.withColumn("ratio", adjusted("p_value", ["viewpoint"]))
     after = Window.partitionBy("viewpoint").orderBy("p_value").rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    return ratio.select(
-        "viewpoint", *PLACE, F.col("ma").alias("mean_a"), F.col("mb").alias("mean_b"), "log2_fold_change", "dispersion", "p_value",
-        F.least(F.min("ratio").over(after), F.lit(1.0)).alias("p_adjusted"),
+    log2 = lambda c: (F.col(c) / math.log(2))
+    out = ratio.select(
+        "viewpoint", *PLACE, "mean_a", "mean_b", log2("change").alias("log2_fold_change"), log2("error").alias("standard_error"), log2("shrunken").alias("shrunken"),
+        "dispersion", "p_value", F.least(F.min("ratio").over(after), F.lit(1.0)).alias("p_adjusted"),
     )
+    return out if most is None else out.where(F.col("p_adjusted") <= most)
+
+
+def differential_pairs(counts: DataFrame, design: DataFrame, most: float | None = None, over: int | None = None, limit: int = 200) -> DataFrame:
+    """``differential`` of every pair of the design's conditions, with a and b; with ``over`` only places where
+    every sample of the design has so many counts. Conditions come to the driver, ``limit`` of them at most."""
+    names = sorted((r[0] for r in design.select("condition").distinct().limit(limit + 1).collect()), reverse=True)
+    if len(names) > limit:
+        raise ValueError(f"more than {limit} conditions")
+    if over is not None:
+        counts = counts_over(counts.join(design.select("sample").distinct(), "sample", "left_semi"), design.select("sample").distinct().count(), over)
+    pairs = list(combinations(names, 2)) or [("", "")]  # without a pair there is no row
+    return reduce(DataFrame.unionByName, [differential(counts, design, a, b, most).withColumns({"a": F.lit(a), "b": F.lit(b)}) for a, b in pairs])
 
 
 def parse_groups(columns: Sequence[str], names: str, members: str) -> dict[str, str]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -516,11 +515,23 @@ def median_ratio_size_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @R.query()
 def nb_wald(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of conditions of the design, b against a, at every place with a count in either."""
-    d, t = design(spark, sf_dir), settled(track(spark, sf_dir), "track")
-    # few conditions: bounded by the design
-    names = sorted((r[0] for r in d.select("condition").distinct().limit(201).collect()), reverse=True)
-    if len(names) > 200:
-        raise ValueError("more than 200 conditions")
-    pairs = list(combinations(names, 2)) or [("wt", "ko")]  # without a pair there is no row
-    tested = [pileup.differential(t, d, a, b).withColumns({"a": F.lit(a), "b": F.lit(b)}) for a, b in pairs]
-    return reduce(DataFrame.unionByName, tested)
+    return pileup.differential_pairs(settled(track(spark, sf_dir), "track"), design(spark, sf_dir))
+
+
+@R.query()
+def nb_wald_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where every sample has five counts, up to an adjusted p of 0.05, the largest changes first."""
+    found = pileup.differential_pairs(settled(track(spark, sf_dir), "track"), design(spark, sf_dir), most=0.05, over=5)
+    return found.orderBy(F.desc(F.abs("log2_fold_change")), "p_adjusted", "viewpoint", "chrom", "start_pos", "a", "b")
+
+
+@R.query(
+    f"""WITH {SQL_BG}, {SQL_DESIGN}, two AS (SELECT sample, condition = 'wt' AS b FROM design WHERE condition IN ('wt', 'ko')),
+    p AS (SELECT DISTINCT viewpoint, chrom, s, e FROM bg JOIN two ON two.sample = bg.sample)
+    SELECT p.viewpoint, p.chrom, p.s AS start_pos, p.e AS end_pos, list(coalesce(n, 0)::DOUBLE ORDER BY two.b, two.sample) AS n FROM p CROSS JOIN two
+    LEFT JOIN bg ON bg.sample = two.sample AND bg.viewpoint = p.viewpoint AND bg.chrom = p.chrom AND bg.s = p.s AND bg.e = p.e GROUP BY 1, 2, 3, 4"""
+)
+def counts_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that wt is tested against ko by, zeros included."""
+    t = settled(track(spark, sf_dir), "track")
+    return pileup.conditions_side_by_side(t, design(spark, sf_dir), "ko", "wt").select("viewpoint", "chrom", "start_pos", "end_pos", "n")
