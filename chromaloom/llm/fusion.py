@@ -7,9 +7,7 @@ dependence and beliefs are estimated in turn. Groups of equal structure (the sam
 same split into values) have equal beliefs, so estimation runs over distinct structures with
 their number, not over groups.
 
-``first_in_trust`` is the limit of the model for records that are all copies of one another: the
-copied votes are worth nothing, each value has the vote of its most trusted record only, and with
-accuracies in a strict order the value of greatest posterior is that of the first record.
+``first_in_trust`` is another method, no fusion: the first record of each group in a given order.
 """
 
 from __future__ import annotations
@@ -187,27 +185,18 @@ def _resolved(accuracy: np.ndarray, m: Model):
     return run
 
 
-def fuse(
-    df: DataFrame, key: Column, fields: Mapping[str, Column], sources: Sequence[Column], model: Model = Model(), max_sources: int | None = None
-) -> DataFrame:
+def fuse(df: DataFrame, key: Column, fields: Mapping[str, Column], source: Column, model: Model = Model()) -> DataFrame:
     """key, field, value, posterior: for each group and field the value of greatest posterior.
 
     ``fields`` are strings, NULL for a missing value: a group without any value of a field has no
-    row for it. ``sources`` name who delivered a record: the first of them, however many different
-    names it has. Only where ``max_sources`` is given, the first of no more names than that is used,
-    or else a single source. Equal votes go to the smaller value. Repeated rows count once, rows with
-    a NULL key or source not at all.
+    row for it. ``source`` names who delivered a record; the driver holds a number for each source.
+    Equal votes go to the smaller value. Repeated rows count once, rows with a NULL key or source
+    not at all.
     """
     values = F.explode(F.array(*[F.struct(F.lit(n).alias("field"), v.cast("string").alias("value")) for n, v in fields.items()]))
-    claims = df.select(key.alias("key"), *[s.cast("string").alias(f"s{i}") for i, s in enumerate(sources)], values.alias("f"))
-    claims = claims.select("key", "f.field", "f.value", *[f"s{i}" for i in range(len(sources))])
-    claims = claims.where("key IS NOT NULL AND value IS NOT NULL")
-    chosen = F.col("s0") if max_sources is None else F.lit("all")
-    for i in range(len(sources) if max_sources is not None else 0):
-        if claims.select(f"s{i}").where(f"s{i} IS NOT NULL").distinct().limit(max_sources + 1).count() <= max_sources:
-            chosen = F.col(f"s{i}")
-            break
-    told = claims.select("key", "field", "value", F.concat_ws("|", "field", chosen).alias("name")).where(chosen.isNotNull())
+    claims = df.select(key.alias("key"), source.cast("string").alias("source"), values.alias("f"))
+    told = claims.select("key", "f.field", "f.value", F.concat_ws("|", "f.field", "source").alias("name"), "source")
+    told = told.where("key IS NOT NULL AND value IS NOT NULL AND source IS NOT NULL").drop("source")
     names = sorted(r[0] for r in told.select("name").distinct().collect())
     numbers = df.sparkSession.createDataFrame([(x, k) for k, x in enumerate(names)], "name string, s int")
     told = told.join(numbers, "name").select("key", "field", F.struct("s", "value").alias("c"))

@@ -18,18 +18,17 @@ from pyspark.sql import functions as F
 from ..session import settled
 
 
-def cells_of(rows: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """The cells (combinations of dims) with their number of rows and a 64-bit code for each.
+def cells_of(rows: DataFrame, dims: Sequence[str]) -> tuple[DataFrame, int]:
+    """The cells (combinations of dims) with their number of rows and a 64-bit code for each; and the codes' seed.
 
     Codes are hashes; they are checked to differ, and made anew from another seed if they don't,
-    so that nothing depends on luck. Attribute ``seed`` of the result is the seed in use.
+    so that nothing depends on luck.
     """
     counted = settled(rows.groupBy(*dims).agg(F.count(F.lit(1)).alias("n_records")), "cells")
     for seed in range(64):
         coded = counted.withColumn("cell", cell_code(dims, seed))
         if not coded.groupBy("cell").count().where("count > 1").head(1):
-            coded.seed = seed
-            return coded
+            return coded, seed
     raise RuntimeError("no seed gives different codes; there are too many cells")
 
 
@@ -70,10 +69,19 @@ def distinct_per(totals: DataFrame, cells: DataFrame, dims: Sequence[str]) -> Da
 
     A pattern counts once for each value that any of its cells has.
     """
+    return distinct_per_each(totals, cells, [dims]).select(*dims, "n_distinct")
+
+
+def distinct_per_each(totals: DataFrame, cells: DataFrame, subsets: Sequence[Sequence[str]]) -> DataFrame:
+    """As distinct_per for several sets of dimensions in one pass: all dimensions, NULL where not of the set,
+    ``subset`` (the set's place in the list) and n_distinct."""
+    every = list(dict.fromkeys(d for dims in subsets for d in dims))
+    kinds = {d: cells.schema[d].dataType for d in every}
     numbered = totals.select(F.monotonically_increasing_id().alias("pattern"), "cells", "n")
-    exploded = numbered.select("pattern", "n", F.explode("cells").alias("cell"))
-    reached = exploded.join(cells.select("cell", *dims), "cell").select("pattern", "n", *dims).distinct()
-    return reached.groupBy(*dims).agg(F.sum("n").alias("n_distinct"))
+    exploded = numbered.select("pattern", "n", F.explode("cells").alias("cell")).join(cells.select("cell", *every), "cell")
+    sets = [F.struct(F.lit(i).alias("subset"), *[(F.col(d) if d in dims else F.lit(None).cast(kinds[d])).alias(d) for d in every]) for i, dims in enumerate(subsets)]
+    reached = exploded.select("pattern", "n", F.explode(F.array(*sets)).alias("s")).select("pattern", "n", "s.*").distinct()
+    return reached.groupBy("subset", *every).agg(F.sum("n").alias("n_distinct"))
 
 
 def combination(totals: DataFrame, any_of: Column | None = None, all_of: Sequence[Column] = (), none_of: Column | None = None) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_missing, plain, plain_slice, sql_missing, sql_plain, sql_plain_slice
+from ..operators.slices import chrom_name
 from ..plans.tables import table
 from ..session import settled
 from . import packing, patterns, tokenize
@@ -55,12 +57,8 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """chrom and multimapped of every slice by Bayesian fusion of what the loading days delivered."""
     slices = table(spark, sf_dir, "slices")
-    name = F.regexp_replace(plain(F.col("chrom")), "^chr", "")
-    fields = {
-        "chrom": F.when(~is_missing(F.col("chrom")) & (name != ""), F.concat(F.lit("chr"), F.initcap(name))),
-        "multimapped": F.col("multimapped").cast("string"),
-    }
-    best = fuse(slices, plain_slice(F.col("slice_name")), fields, [F.col("loaded_at").cast("date")])
+    fields = {"chrom": chrom_name(F.col("chrom")), "multimapped": F.col("multimapped").cast("string")}
+    best = fuse(slices, plain_slice(F.col("slice_name")), fields, F.col("loaded_at").cast("date"))
     of = lambda f, c: F.max(F.when(F.col("field") == f, F.col(c)))
     return best.groupBy(F.col("key").alias("slice_name")).agg(
         of("chrom", "value").alias("chrom"), of("chrom", "posterior").alias("chrom_posterior"),
@@ -84,8 +82,8 @@ CELL = ["bam", "load_day", "capture"]
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells with 20 records or more, of which at most half are different."""
     rows = _deliveries(spark, sf_dir)
-    cells = patterns.cells_of(rows, CELL)
-    totals = patterns.pattern_totals(patterns.memberships(rows, "identifier", patterns.cell_code(CELL, cells.seed)))
+    cells, seed = patterns.cells_of(rows, CELL)
+    totals = patterns.pattern_totals(patterns.memberships(rows, "identifier", patterns.cell_code(CELL, seed)))
     counted = cells.where("n_records >= 20").join(patterns.distinct_per_cell(totals), "cell")
     return counted.where("2 * n_distinct <= n_records").select(*CELL)
 
@@ -112,15 +110,40 @@ def p5_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     NULL stands for a dimension that isn't of the combination, capture '' for records without a capture.
     """
     rows = _identifiers(spark, sf_dir)
-    cells = patterns.cells_of(rows, ["kind", *CELL])
-    totals = patterns.pattern_totals(patterns.memberships(rows, "identifier", patterns.cell_code(["kind", *CELL], cells.seed)))
-    totals = settled(totals, "pattern-totals")
-    out = None
-    for dims in SUBSETS:
-        per = patterns.distinct_per(totals, cells, ["kind", *dims])
-        per = per.select("kind", *[(F.col(d) if d in dims else F.lit(None).cast("string")).alias(d) for d in CELL], "n_distinct")
-        out = per if out is None else out.unionByName(per)
-    return out
+    cells, seed = patterns.cells_of(rows, ["kind", *CELL])
+    totals = patterns.pattern_totals(patterns.memberships(rows, "identifier", patterns.cell_code(["kind", *CELL], seed)))
+    return patterns.distinct_per_each(totals, cells, [["kind", *dims] for dims in SUBSETS]).select("kind", *CELL, "n_distinct")
+
+
+def _days(spark: SparkSession, sf_dir: str, every: int, rest: int) -> tuple[DataFrame, DataFrame]:
+    """Memberships of slices in loading days, of records with a number of such a rest; and the days' codes."""
+    slices = table(spark, sf_dir, "slices").where(F.pmod("record_id", F.lit(every)) == rest)
+    rows = slices.select(F.date_format("loaded_at", "yyyy-MM-dd").alias("load_day"), plain_slice(F.col("slice_name")).alias("identifier"))
+    return patterns.memberships(rows, "identifier", patterns.cell_code(["load_day"], 0)), rows.select("load_day").distinct()
+
+
+def p5_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different slices in each loading day and the day after, from memberships of three parts of all records, merged."""
+    parts = [_days(spark, sf_dir, 3, rest) for rest in range(3)]
+    totals = settled(patterns.pattern_totals(patterns.merge_memberships([m for m, _ in parts])), "pattern-totals")
+    days = reduce(DataFrame.unionByName, [d for _, d in parts]).where("load_day IS NOT NULL").distinct()
+    after = F.date_format(F.date_add(F.to_date("load_day"), 1), "yyyy-MM-dd")
+    codes = days.select("load_day", F.explode(F.array("load_day", after)).alias("day"))
+    codes = codes.select("load_day", patterns.cell_code(["load_day"], 0).alias("own"), F.col("day").alias("load_day_2"))
+    cells = codes.select(F.col("load_day").alias("first"), F.col("load_day_2").alias("load_day")).withColumn("cell", patterns.cell_code(["load_day"], 0))
+    return patterns.distinct_per(totals, cells.select("cell", F.col("first").alias("load_day")), ["load_day"])
+
+
+def p5_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices delivered by the first two bams both, by either, and by the first alone, of all bams."""
+    rows = table(spark, sf_dir, "slices").select("bam", plain_slice(F.col("slice_name")).alias("identifier"))
+    totals = settled(patterns.pattern_totals(patterns.memberships(rows, "identifier", patterns.cell_code(["bam"], 0))), "pattern-totals")
+    first = [r.bam for r in rows.select("bam").distinct().orderBy("bam").limit(2).collect()] or [""]
+    code = lambda *names: F.array(*[F.xxhash64(F.lit(0), F.lit(False), F.lit(n)) for n in names])
+    one, other = code(first[0]), code(first[-1])
+    asked = {"both": ([one, other], None), "first_only": ([one], other), "either": ([code(*first)], None)}
+    out = [patterns.combination(totals, all_of=all_of, none_of=none_of).withColumn("asked", F.lit(k)) for k, (all_of, none_of) in asked.items()]
+    return reduce(DataFrame.unionByName, out)
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +189,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p2_fused, p5_found, p5_combinations, p6_ids, p7_containers, p7_unused, p8_shares, p8_found)}
+    return {f.__name__: f for f in (p1_found, p1_pairs, p2_found, p2_fused, p5_found, p5_combinations, p5_merged, p5_combination, p6_ids, p7_containers, p7_unused, p8_shares, p8_found)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -191,6 +214,14 @@ def oracle_sql() -> dict[str, str]:
     )
     return {
         "p5_combinations": f"WITH {deliveries} {combined}",
+        "p5_merged": f"""
+            WITH r AS (SELECT DISTINCT CAST(loaded_at AS DATE) AS day, {sql_plain_slice("slice_name")} AS identifier FROM slices WHERE loaded_at IS NOT NULL),
+            w AS (SELECT day AS first, identifier FROM r UNION ALL SELECT d.day, identifier FROM (SELECT DISTINCT day FROM r) d JOIN r ON r.day = d.day + 1)
+            SELECT strftime(first, '%Y-%m-%d') AS load_day, count(DISTINCT identifier) AS n_distinct FROM w GROUP BY first""",
+        "p5_combination": f"""
+            WITH b AS (SELECT min(bam) AS one, (SELECT max(bam) FROM (SELECT DISTINCT bam FROM slices ORDER BY bam LIMIT 2)) AS other FROM slices),
+            i AS (SELECT {sql_plain_slice("slice_name")} AS identifier, bool_or(bam = one) AS x, bool_or(bam = other) AS y FROM slices, b GROUP BY 1)
+            SELECT unnest(['both', 'first_only', 'either']) AS asked, unnest([count(*) FILTER (x AND y), count(*) FILTER (x AND NOT y), count(*) FILTER (x OR y)]) AS n_distinct FROM i""",
         "p1_found": f"WITH {pairs} SELECT bam, fragment_a, fragment_b FROM pairs WHERE n_ab >= 8 AND n_ab * n >= 10 * n_a * n_b",
         "p1_pairs": f"""WITH {pairs} SELECT *, round(n_ab * n / (n_a::DOUBLE * n_b), 6) AS lift,
             round(ln((n_ab + 0.5) * (n - n_a - n_b + n_ab + 0.5) / ((n_a - n_ab + 0.5) * (n_b - n_ab + 0.5))), 6) AS log_odds FROM pairs""",

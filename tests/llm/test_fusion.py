@@ -30,7 +30,7 @@ def test_empty_and_clashing_names(spark):
     df = spark.createDataFrame([(1, "k", "x", 0, 1)], ROWS).withColumn("key", F.lit(1)).withColumn("n", F.lit(1))
     assert f.first_in_trust(df.limit(0), F.col("k"), {"a": [F.col("t")]}, "id").count() == 0
     assert tuple(f.first_in_trust(df, F.col("k"), {"a": [F.col("t")]}, "id").first()) == ("k", 1)
-    assert f.fuse(df.limit(0), F.col("k"), {"c": F.col("chrom")}, [F.col("t")]).count() == 0
+    assert f.fuse(df.limit(0), F.col("k"), {"c": F.col("chrom")}, F.col("t")).count() == 0
 
 
 def claims(seed=1, items=400):
@@ -51,7 +51,7 @@ def claims(seed=1, items=400):
 def test_copies_are_discounted(spark):
     rows, truth = claims()
     df = spark.createDataFrame(rows, "k string, s string, v string")
-    out = {x.key: x.value for x in f.fuse(df, F.col("k"), {"v": F.col("v")}, [F.col("s")]).collect()}
+    out = {x.key: x.value for x in f.fuse(df, F.col("k"), {"v": F.col("v")}, F.col("s")).collect()}
     votes = {}
     for k, _, v in rows:
         votes.setdefault(k, []).append(v)
@@ -71,12 +71,5 @@ def test_beliefs_and_dependence_by_hand():
 
 def test_values_missing_repeated_and_tied(spark):
     rows = [("a", "s", None), ("a", "t", None), ("b", "s", "y"), ("b", "t", "x"), ("c", "s", "z"), ("c", "s", "z"), (None, "s", "q"), ("d", None, "q")]
-    out = {x.key: x.value for x in f.fuse(spark.createDataFrame(rows, "k string, s string, v string"), F.col("k"), {"v": F.col("v")}, [F.col("s")]).collect()}
+    out = {x.key: x.value for x in f.fuse(spark.createDataFrame(rows, "k string, s string, v string"), F.col("k"), {"v": F.col("v")}, F.col("s")).collect()}
     assert out == {"b": "x", "c": "z"}
-
-
-def test_too_many_sources_fall_back(spark):
-    rows = [(f"k{i % 5}", f"s{i}", "v") for i in range(40)]
-    df = spark.createDataFrame(rows, "k string, s string, v string")
-    assert f.fuse(df, F.col("k"), {"v": F.col("v")}, [F.col("s"), F.lit("x")], max_sources=8).count() == 5
-    assert f.fuse(df, F.col("k"), {"v": F.col("v")}, [F.col("s")], max_sources=8).count() == 5
