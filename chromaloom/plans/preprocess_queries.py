@@ -74,7 +74,7 @@ def dedup_reads_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preprocess.deduplication_counts(table(spark, sf_dir, "documents"), ["text", "lang"])
 
 
-@R.query(f"WITH {S}, {sql_program('capture', 'k')} SELECT record_id FROM slices WHERE {sql_plain('parent_read')} IN (SELECT parent_id FROM k)")
+@R.query(f"WITH {S}, {sql_program('capture', 'k')} SELECT record_id FROM slices WHERE {sql_plain("split_part(slice_name, '|', 1)")} IN (SELECT parent_id FROM k)")
 def regenerate_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose read is one that the capture program keeps."""
     kept = filters.run_program(slices(spark, sf_dir), "capture")
